@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -35,20 +35,38 @@ def totals(
     )
 
 
+def where_computed(
+    rows: DataFrame, columns: Mapping[str, Column], test: Callable[..., Column]
+) -> DataFrame:
+    """Add ``columns`` and keep the rows whose new values pass ``test``.
+
+    Spark would move such a filter below the projection and compute every column twice, once to
+    test and once to keep. It moves no filter through a projection that holds a nondeterministic
+    column, so one is put there: the partition id, which is never negative.
+    """
+    computed = rows.withColumns({**columns, "_partition": F.spark_partition_id()})
+    kept = computed.filter(test(*[F.col(quoted(c)) for c in columns]) & (F.col("_partition") >= 0))
+    return kept.drop("_partition")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """One row per key; every other column takes its smallest non-NULL value on its own.
 
-    Without ``keys`` the first column is the key.
+    Without ``keys`` the first column is the key. As in ``totals``, whole rows are reduced by hash
+    before text columns are; the test on their count only keeps Spark from dropping that step.
     """
     keys = list(keys or df.columns[:1])
     carried = [c for c in df.columns if c not in keys]
     if not carried:
         return df.distinct()
+    different = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(
+        F.count(F.lit(1)).alias("_copies")
+    )
     return (
-        df.distinct()
+        different.filter(F.col("_copies") > 0)
         .groupBy(*[F.col(quoted(k)) for k in keys])
         .agg(*[F.min(quoted(c)).alias(c) for c in carried])
-        .select(*[quoted(c) for c in df.columns])
+        .select(*[F.col(quoted(c)) for c in df.columns])
     )
 
 
