@@ -20,6 +20,8 @@ def session() -> SparkSession:
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
+        "spark.sql.maxMetadataStringLength": "5000",
+        "spark.sql.debug.maxToStringFields": "1000",
     }.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

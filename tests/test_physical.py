@@ -1,0 +1,91 @@
+"""What the plans must and must not hold."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as contract
+from catalog import sources as S
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data")
+
+# The JVM leaves methods over this many bytes to the interpreter.
+JIT_LIMIT = 8000
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def static(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.fixture
+def no_broadcast(static):
+    static.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield static
+    static.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_generated_methods_compile_and_nothing_is_crossed(static, name):
+    df = contract.queries()[name](static, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan()
+    debug = getattr(static._jvm, "org.apache.spark.sql.execution.debug.package")
+    stages = debug.codegenStringSeq(plan)
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert all(size < JIT_LIMIT for size in sizes)
+    text = plan.toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython"):
+        assert operator not in text
+
+
+def test_scans_read_only_what_is_needed(static):
+    text = plan_of(contract.queries()["week_single"](static, FOLDER))
+    scan = next(line for line in text.splitlines() if "l_partkey" in line and "FileScan" in line)
+    assert "l_shipdate" not in scan and "l_extendedprice" not in scan
+
+
+def test_funds_are_filtered_at_the_scan(static):
+    raw = S.table(static, FOLDER, "lineitem").selectExpr(
+        "l_returnflag as `资金类型`", "l_linestatus as `资金账户名称`",
+        *[f"cast({e} as string) as `{h}`" for h, e in S.WEEK_FUNDS.items() if not h.startswith("资金")],
+    )
+    from adsettle.plans.weekly import guangdiantong
+
+    text = plan_of(guangdiantong(raw, None, "p"))
+    pushed = text[text.index("PushedFilters") :]
+    assert "Not(EqualTo(l_returnflag,虚拟金))" in pushed
+    assert "Not(In(l_linestatus, [专用赠送账户,内部领用金账户]))" in pushed
+
+
+def test_a_filtered_net_is_computed_once(static):
+    text = plan_of(contract.queries()["week_spend_recharge"](static, FOLDER))
+    filters = [line for line in text.splitlines() if ") Filter " in line]
+    assert filters and not any("try_cast" in line for line in filters)
+
+
+def test_raw_rows_meet_a_hash_aggregate_first(static):
+    for name in ("month_two_term", "week_single", "media_merge_multi", "account_dim"):
+        lines = plan_of(contract.queries()[name](static, FOLDER)).splitlines()
+        lowest = max(i for i, line in enumerate(lines) if "Aggregate(" in line)
+        assert "HashAggregate" in lines[lowest]
+
+
+def test_large_dimension_is_merge_joined_without_another_shuffle_of_totals(no_broadcast):
+    text = plan_of(contract.queries()["month_two_term"](no_broadcast, FOLDER))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    # Two for the totals, two for the dimension.
+    assert text.count("Exchange hashpartitioning") == 4
+
+
+def test_full_merge_reuses_the_partitioning_of_the_totals(no_broadcast):
+    text = plan_of(contract.queries()["week_fanout"](no_broadcast, FOLDER))
+    assert "FullOuter" in text
