@@ -27,26 +27,34 @@ def money(df: DataFrame, name: str, lenient: bool = False) -> Column:
 
     Strict: text that is no number fails the job. Lenient: it becomes NULL. Both hold whatever
     ``spark.sql.ansi.enabled`` says.
+    """
+    return F.expr(money_sql(df, name, lenient))
+
+
+def money_sql(df: DataFrame, name: str, lenient: bool = False) -> str:
+    """``money`` as SQL text, from which longer expressions are put together in one go.
 
     Spark's cast would take a trailing type letter and refuse underscores. With a letter of our own
     put behind it, text that brings one along fails the cast, and only text that fails is held
     against the pattern. The expression is kept short: a net has up to fourteen of these in one
     generated method, and the JVM does not compile methods over 8,000 bytes.
     """
-    cell = F.col(quoted(name))
+    cell = quoted(name)
     if not isinstance(df.schema[name].dataType, T.StringType):
-        return cell.cast("double")
-    plain = F.concat(cell, F.lit("d")).try_cast("double")
-    other = F.when(
-        cell.rlike("(?i)" + _NUMBER), F.replace(cell, F.lit("_"), F.lit(""))
-    ).try_cast("double")
+        return f"CAST({cell} AS DOUBLE)"
+    plain = f"TRY_CAST(concat({cell}, 'd') AS DOUBLE)"
+    other = (
+        f"TRY_CAST(CASE WHEN {cell} RLIKE r'(?i){_NUMBER}' THEN replace({cell}, '_', '') END"
+        " AS DOUBLE)"
+    )
     if lenient:
-        return F.coalesce(plain, other)
-    refuse = F.when(
-        cell.isNotNull(),
-        F.raise_error(F.concat(F.lit(f"{name}: not a number: "), cell)).cast("double"),
+        return f"coalesce({plain}, {other})"
+    said = name.replace("\\", "\\\\").replace("'", "\\'")
+    refuse = (
+        f"CASE WHEN {cell} IS NOT NULL THEN"
+        f" CAST(raise_error(concat('{said}: not a number: ', {cell})) AS DOUBLE) END"
     )
-    return F.coalesce(plain, other, refuse)
+    return f"coalesce({plain}, {other}, {refuse})"
 
 
 def rejected(df: DataFrame, name: str) -> Column:
@@ -71,10 +79,10 @@ def settlement(
     Summing this one column gives the same total as summing every term and netting the sums, with
     one aggregation buffer in place of one per term.
     """
-    return net(
-        [or_zero(money(df, c, lenient)) for c in plus],
-        [or_zero(money(df, c, lenient)) for c in minus],
-    )
+    def term(name: str) -> str:
+        return f"coalesce({money_sql(df, name, lenient)}, 0.0D)"
+
+    return F.expr(" + ".join(map(term, plus)) + "".join(f" - {term(c)}" for c in minus))
 
 
 def beyond_tolerance(*measures: Column) -> Column:

@@ -23,10 +23,11 @@ def enrich(
     sort-merges otherwise, where the left side keeps the partitioning of its aggregate.
     """
     if account is None:
-        return df.withColumns({out: F.lit(None).cast("string") for out in columns.values()})
-    side = account.select(
-        F.col("id").cast("string").alias("_id"),
-        *[F.col(quoted(c)).alias(out) for c, out in columns.items()],
+        nothing = [f"CAST(NULL AS STRING) AS {quoted(out)}" for out in columns.values()]
+        return df.selectExpr("*", *nothing)
+    side = account.selectExpr(
+        "CAST(id AS STRING) AS _id",
+        *[f"{quoted(c)} AS {quoted(out)}" for c, out in columns.items()],
     )
     return df.join(side, F.col(quoted(key)).cast("string") == side["_id"], "left").drop("_id")
 

@@ -8,7 +8,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from adsettle.functions.money import quoted
 
@@ -65,14 +64,11 @@ def resolve(headers: Sequence[str], wanted: Iterable[Field]) -> list[tuple[str,
 
 def bind(df: DataFrame, wanted: Iterable[Field]) -> DataFrame:
     """Project a table onto a mapping. Header errors surface here, before any job runs."""
-    return df.select(
-        *[
-            F.coalesce(*[F.col(quoted(h)) for h in hit]).alias(name)
-            if len(hit) > 1
-            else F.col(quoted(hit[0])).alias(name)
-            for name, hit in resolve(df.columns, wanted)
-        ]
-    )
+    items = []
+    for name, hit in resolve(df.columns, wanted):
+        cells = ", ".join(map(quoted, hit))
+        items.append(f"{cells if len(hit) == 1 else f'coalesce({cells})'} AS {quoted(name)}")
+    return df.selectExpr(*items)
 
 
 def bind_first(

@@ -24,14 +24,14 @@ def totals(
     result is reduced to one row per key. Both steps combine on the map side, so a key that owns
     a third of the rows sends one row per task.
     """
-    inner = rows.groupBy(*[F.col(quoted(c)) for c in [*keys, *labels]]).agg(
+    inner = rows.groupBy(*map(quoted, [*keys, *labels])).agg(
         *[F.sum(value).alias(name) for name, value in sums.items()]
     )
     if not labels:
         return inner
-    return inner.groupBy(*[F.col(quoted(k)) for k in keys]).agg(
-        *[F.min(quoted(c)).alias(c) for c in labels],
-        *[F.sum(quoted(name)).alias(name) for name in sums],
+    return inner.groupBy(*map(quoted, keys)).agg(
+        *[F.expr(f"min({c}) AS {c}") for c in map(quoted, labels)],
+        *[F.expr(f"sum({c}) AS {c}") for c in map(quoted, sums)],
     )
 
 
@@ -59,14 +59,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame
     carried = [c for c in df.columns if c not in keys]
     if not carried:
         return df.distinct()
-    different = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
+    different = df.groupBy(*map(quoted, df.columns)).agg(F.expr("count(1) AS _copies"))
     return (
-        different.filter(F.col("_copies") > 0)
-        .groupBy(*[F.col(quoted(k)) for k in keys])
-        .agg(*[F.min(quoted(c)).alias(c) for c in carried])
-        .select(*[F.col(quoted(c)) for c in df.columns])
+        different.filter("_copies > 0")
+        .groupBy(*map(quoted, keys))
+        .agg(*[F.expr(f"min({c}) AS {c}") for c in map(quoted, carried)])
+        .select(*map(quoted, df.columns))
     )
 
 

@@ -77,7 +77,7 @@ SELECT {CUSTOMER_SQL}, name AS "账户名称", round(CAST(settled AS DOUBLE), 2)
 FROM s LEFT JOIN account ON k = id"""
 )
 def month_3plus_9minus(spark: SparkSession, folder: str) -> DataFrame:
-    raw = S.export(spark, folder, "lineitem", S.MONTH_GUANGDIANTONG)
+    raw = S.export(spark, folder, "lineitem", S.MONTH_GUANGDIANTONG, typed=True)
     return cents(monthly.guangdiantong(raw, S.account(spark, folder)), "结算消耗", "总消耗")
 
 
@@ -95,7 +95,7 @@ SELECT k AS "账户ID", name AS "账户名称", n2 AS "客户名称", box AS "k
 FROM s LEFT JOIN account ON k = id"""
 )
 def month_3plus_11minus(spark: SparkSession, folder: str) -> DataFrame:
-    raw = S.export(spark, folder, "lineitem", S.MONTH_GUANGDIANTONG)
+    raw = S.export(spark, folder, "lineitem", S.MONTH_GUANGDIANTONG, typed=True)
     return cents(monthly.guangdiantong_large(raw, S.account(spark, folder)), "结算消耗")
 
 

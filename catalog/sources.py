@@ -199,5 +199,7 @@ OTHER_MEDIA = {
 }
 
 
-def export(spark: SparkSession, folder: str, name: str, headers: dict[str, str]) -> DataFrame:
-    return as_export(table(spark, folder, name), headers)
+def export(
+    spark: SparkSession, folder: str, name: str, headers: dict[str, str], typed: bool = False
+) -> DataFrame:
+    return as_export(table(spark, folder, name), headers, typed)
