@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adsettle.functions.money import rejected
 from adsettle.functions.ports import port_column
 from adsettle.operators.merge import union_all
 from adsettle.operators.pages import with_pages
@@ -23,6 +24,7 @@ from adsettle.operators.totals import (
     unique_keys,
 )
 from adsettle.plans import media
+from adsettle.plans.batch import run_batch
 from adsettle.plans.routing import (
     MONTH_ENTRIES,
     WEEK_ENTRIES,
@@ -32,7 +34,14 @@ from adsettle.plans.routing import (
     routed_entries,
 )
 from adsettle.session import staging_path
-from adsettle.sinks.tables import extent, one_task_per_page, write_pages, write_result
+from adsettle.sinks.tables import (
+    append_table,
+    extent,
+    one_task_per_page,
+    replace_table,
+    write_pages,
+    write_result,
+)
 from adsettle.sinks.workbook import write_books
 from adsettle.sources.landed import read_landed
 from adsettle.sources.workbook import (
@@ -45,6 +54,7 @@ from adsettle.sources.workbook import (
 )
 from catalog import sources as S
 from catalog.base import as_export, cents, query, table
+from catalog.monthly import FOUR_SUM_SQL
 
 
 # Deduplication and counts.
@@ -89,9 +99,6 @@ def row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_counts(table(spark, folder, "lineitem"), ["l_partkey"])
 
 
-_TYPES = "'BIGINT', 'bigint', 'INTEGER', 'int', 'DOUBLE', 'double', 'VARCHAR', 'string'"
-
-
 @query(
     f"""
 SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name,
@@ -106,6 +113,21 @@ def describe_columns(spark: SparkSession, folder: str) -> DataFrame:
     return describe(table(spark, folder, "orders").select(*columns))
 
 
+@query(
+    """
+SELECT count(*) AS cells, count(*) FILTER (WHERE l_linenumber = 7) AS bad_total,
+       count(*) FILTER (WHERE l_linenumber = 6) AS bad_refund FROM lineitem"""
+)
+def rejected_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """How many cells a lenient run leaves out, by column."""
+    raw = S.export(spark, folder, "lineitem", S.QUTOUTIAO)
+    return raw.agg(
+        F.count(F.lit(1)).alias("cells"),
+        F.count_if(rejected(raw, "总消费")).alias("bad_total"),
+        F.count_if(rejected(raw, "赔付充值")).alias("bad_refund"),
+    )
+
+
 # Projections and mappings.
 
 
@@ -273,6 +295,22 @@ def paged_write(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select("page", "l_orderkey", "l_extendedprice")
 
 
+@query(
+    """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name FROM supplier"""
+)
+def table_append(spark: SparkSession, folder: str) -> DataFrame:
+    """A table created from one source, another appended by position."""
+    path = staging_path(spark, "accounts")
+    name = "accounts_" + path.rpartition("-")[2]
+    first = table(spark, folder, "customer").selectExpr("string(c_custkey) AS id", "c_name AS name")
+    more = table(spark, folder, "supplier").selectExpr("string(s_suppkey) AS key", "s_name AS who")
+    replace_table(first, name, path)
+    append_table(more, name)
+    return spark.table(name)
+
+
 # Workbooks.
 
 _BOOK = {
@@ -390,6 +428,28 @@ def workbook_mapping(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(FOUR_SUM_SQL.replace("LEFT JOIN account ON k = id", "LEFT JOIN account ON k = id AND 1 = 0")
+       + "SELECT * FROM out")
+def settle_workbooks(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole monthly run: line items as workbooks of an entry, no account list, pages out."""
+    base, out = staging_path(spark, "base"), staging_path(spark, "out")
+    rows = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU)
+    paged = with_pages(rows, 20_000)
+    _, pages = extent(paged)
+    placed = one_task_per_page(paged, pages).withColumns(
+        {
+            "_file": F.concat(F.lit(f"{base}/快手-a/快手 "), F.col("page"), F.lit(".xlsx")),
+            "_sheet": F.concat(F.lit("s"), F.floor(F.col("row_index") % 20_000 / 8000)),
+        }
+    )
+    write_books(placed, "_file", "_sheet", rows.columns).write.parquet(f"{base}-report")
+    summary = run_batch(spark, base, out, "month", kind="parquet").first()
+    if summary["status"] != "ok":
+        raise ValueError(summary["message"])
+    result = spark.read.parquet(f"{out}/output_month_快手-a").drop("page")
+    return cents(result, "结算消耗", "框返花费(元)", "总消耗")
+
+
 # Entries and files by name.
 
 _ENTRY = (
