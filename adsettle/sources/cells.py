@@ -9,7 +9,7 @@ import posixpath
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
-from xml.parsers import expat
+from xml.etree import ElementTree
 
 CHUNK = 1 << 20
 
@@ -34,68 +34,57 @@ def open_workbook(path: str) -> Iterator[zipfile.ZipFile]:
         yield book
 
 
-def elements(stream) -> Iterator[tuple[str, str, dict[str, str] | str]]:
-    """('start', tag, attributes) and ('end', tag, text) events, without namespaces."""
-    events: list = []
-    text: list[str] = []
+def ended(stream, name: str) -> Iterator[ElementTree.Element]:
+    """Every element of that name once it is complete, emptied after use."""
+    parser = ElementTree.XMLPullParser(("end",))
+    while chunk := stream.read(CHUNK):
+        parser.feed(chunk)
+        for _, element in parser.read_events():
+            if element.tag.endswith(name) and local(element) == name:
+                yield element
+                element.clear()
 
-    def local(tag: str) -> str:
-        return tag.rpartition(" ")[2]
 
-    def start(tag, attributes):
-        text.clear()
-        events.append(("start", local(tag), {local(k): v for k, v in attributes.items()}))
+def local(element: ElementTree.Element) -> str:
+    """An element's name without its namespace."""
+    return element.tag.rpartition("}")[2]
 
-    def end(tag):
-        events.append(("end", local(tag), "".join(text)))
-        text.clear()
 
-    parser = expat.ParserCreate(namespace_separator=" ")
-    parser.buffer_text = True
-    parser.StartElementHandler, parser.EndElementHandler = start, end
-    parser.CharacterDataHandler = text.append
-    while chunk := stream.read(CHUNK):
-        parser.Parse(chunk)
-        yield from events
-        events.clear()
-    parser.Parse(b"", True)
-    yield from events
+def text_of(item: ElementTree.Element) -> str:
+    """The text of a string item: its own or that of its runs, without phonetic hints."""
+    out = []
+    for child in item:
+        kind = local(child)
+        if kind == "t":
+            out.append(child.text or "")
+        elif kind == "r":
+            out.extend(t.text or "" for t in child if local(t) == "t")
+    return "".join(out)
 
 
 def sheet_parts(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     """(sheet name, archive member) in workbook order; chart sheets are left out."""
-    with book.open("xl/_rels/workbook.xml.rels") as part:
-        targets = {
-            a["Id"]: posixpath.normpath(posixpath.join("/xl", a["Target"])).lstrip("/")
-            for kind, tag, a in elements(part)
-            if kind == "start" and tag == "Relationship" and a["Type"].endswith("/worksheet")
-        }
-    with book.open("xl/workbook.xml") as part:
-        sheets = [
-            (a["name"], a["id"])
-            for kind, tag, a in elements(part)
-            if kind == "start" and tag == "sheet"
-        ]
-    return [(name, targets[rid]) for name, rid in sheets if rid in targets]
+    relations = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
+    targets = {
+        r.get("Id"): posixpath.normpath(posixpath.join("/xl", r.get("Target"))).lstrip("/")
+        for r in relations
+        if r.get("Type", "").endswith("/worksheet")
+    }
+    out = []
+    for sheet in ElementTree.fromstring(book.read("xl/workbook.xml")).iter():
+        if local(sheet) == "sheet":
+            rid = next(v for k, v in sheet.items() if k.endswith("}id"))
+            if rid in targets:
+                out.append((sheet.get("name"), targets[rid]))
+    return out
 
 
 def shared_strings(book: zipfile.ZipFile) -> list[str]:
-    """The workbook's string table; phonetic hints are no part of a string."""
+    """The workbook's string table."""
     if "xl/sharedStrings.xml" not in book.namelist():
         return []
-    out: list[str] = []
-    runs: list[str] = []
-    hint = False
     with book.open("xl/sharedStrings.xml") as part:
-        for kind, tag, data in elements(part):
-            if tag == "rPh":
-                hint = kind == "start"
-            elif kind == "end" and tag == "t" and not hint:
-                runs.append(data)
-            elif kind == "end" and tag == "si":
-                out.append("".join(runs))
-                runs.clear()
-    return out
+        return [text_of(item) for item in ended(part, "si")]
 
 
 def column_index(reference: str) -> int:
@@ -110,27 +99,34 @@ def column_index(reference: str) -> int:
 
 def sheet_cells(stream, strings: list[str]) -> Iterator[tuple[int, dict[int, str]]]:
     """(row number, {column: text}) for each row that has a value; numbers keep their own text."""
-    row, column, cells, value, kind_of_cell, hint = 0, -1, {}, None, "", False
-    for kind, tag, data in elements(stream):
-        if kind == "start":
-            if tag == "row":
-                row = int(data["r"]) if "r" in data else row + 1
-                column, cells = -1, {}
-            elif tag == "c":
-                column = column_index(data["r"]) if "r" in data else column + 1
-                kind_of_cell, value = data.get("t", "n"), None
-            elif tag == "rPh":
-                hint = True
-        elif tag == "v":
-            value = strings[int(data)] if kind_of_cell == "s" else data
-        elif tag == "t" and not hint:
-            value = (value or "") + data
-        elif tag == "rPh":
-            hint = False
-        elif tag == "c" and value:
-            cells[column] = value
-        elif tag == "row" and cells:
-            yield row, cells
+    number = 0
+    places: dict[str, int] = {}
+    for row in ended(stream, "row"):
+        number = int(row.get("r", number + 1))
+        cells: dict[int, str] = {}
+        column = -1
+        for cell in row:
+            reference = cell.get("r")
+            if reference is None:
+                column += 1
+            else:
+                letters = reference.rstrip("0123456789")
+                if letters not in places:
+                    places[letters] = column_index(letters)
+                column = places[letters]
+            for part in cell:
+                if part.tag.endswith("}v"):
+                    value = part.text
+                    if value and cell.get("t") == "s":
+                        value = strings[int(value)]
+                elif part.tag.endswith("}is"):
+                    value = text_of(part)
+                else:
+                    continue
+                if value:
+                    cells[column] = value
+        if cells:
+            yield number, cells
 
 
 def sheet_table(
