@@ -119,7 +119,7 @@ FROM s LEFT JOIN account ON k = id)"""
 
 
 def _kuaishou(spark: SparkSession, folder: str) -> DataFrame:
-    raw = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU)
+    raw = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU, typed=True)
     out = monthly.kuaishou(raw, S.account(spark, folder))
     return cents(out, "结算消耗", "框返花费(元)", "总消耗")
 
@@ -131,7 +131,7 @@ def month_four_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(FOUR_SUM_SQL + 'SELECT * FROM out ORDER BY "结算消耗" DESC, "账户ID" NULLS LAST')
 def month_ordered(spark: SparkSession, folder: str) -> DataFrame:
-    raw = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU)
+    raw = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU, typed=True)
     out = monthly.kuaishou_ordered(raw, S.account(spark, folder))
     return cents(out, "结算消耗", "框返花费(元)", "总消耗")
 

@@ -28,6 +28,18 @@ def test_index_follows_the_order(spark):
     assert paged.filter(F.col("row_index") != 4999 - F.col("v")).count() == 0
 
 
+def test_ties_spread_over_partitions(spark):
+    df = spark.range(0, 200_000, 1, 8).select("id", F.expr("CAST(id % 1 AS DOUBLE) AS v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = with_pages(df, 50_000, ["v"])
+        sizes = [r["count"] for r in index.groupBy(F.input_file_name()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 50_000
+    assert index.agg(F.countDistinct("row_index"), F.max("row_index")).first() == (200_000, 199_999)
+
+
 def test_cap_must_be_positive(spark):
     with pytest.raises(ValueError):
         with_pages(spark.range(1), 0)
