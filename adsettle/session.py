@@ -33,10 +33,10 @@ def staging_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        return folder.rstrip("/")
+        return qualified(spark, folder)
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
+    return "file:" + _local_folder(spark.sparkContext.applicationId)
 
 
 @cache
@@ -44,6 +44,13 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"adsettle-{application}-")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as Spark resolves it, so that tasks opening files agree with Spark."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return store.makeQualified(hadoop).toString().rstrip("/")
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the staging folder."""
     return f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -33,6 +33,7 @@ from adsettle.plans.routing import (
     route,
     routed_entries,
 )
+from adsettle.plans.unite import unite_sheets
 from adsettle.session import staging_path
 from adsettle.sinks.tables import (
     append_table,
@@ -428,6 +429,32 @@ def workbook_mapping(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """
+SELECT CAST(o_custkey AS VARCHAR) AS id, min('<' || o_orderpriority || '> & co') AS "公司名称"
+FROM orders GROUP BY o_custkey"""
+)
+def unite_workbooks(spark: SparkSession, folder: str) -> DataFrame:
+    """All sheets projected, then one row per value of the first column."""
+    path = _order_books(spark, folder)
+    listed = parse_projections('[["\\"账户ID\\"", "id"], ["\\"公司名称\\"", null]]')
+    return unite_sheets(spark, f"{path}/*/*.xlsx", listed)
+
+
+@query(
+    """
+SELECT CAST(o_custkey AS VARCHAR) AS id, min(CAST(o_orderkey AS VARCHAR)) AS first_order,
+       count(*) AS n FROM orders GROUP BY o_custkey"""
+)
+def unite_workbooks_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """All sheets, grouped by a key with aggregates of choice."""
+    path = _order_books(spark, folder)
+    unique = parse_projections(
+        '[["\\"账户ID\\"", "id"], ["any_value(\\"订单\\")", "first_order"], ["COUNT(*)", "n"]]'
+    )
+    return unite_sheets(spark, f"{path}/*/*.xlsx", unique=unique)
+
+
 @query(FOUR_SUM_SQL.replace("LEFT JOIN account ON k = id", "LEFT JOIN account ON k = id AND 1 = 0")
        + "SELECT * FROM out")
 def settle_workbooks(spark: SparkSession, folder: str) -> DataFrame:

@@ -143,6 +143,21 @@ def test_mapping_of_files(spark, tmp_path):
     assert fitting_files(heads.filter("path like '%c.xlsx'"), mappings) is None
 
 
+def test_unite(spark, tmp_path):
+    """Two sheets, six rows, four keys."""
+    from adsettle.plans.unite import unite_sheets
+
+    one = [["x", "y"], ["1", "a"], ["2", "b"], ["3", None]]
+    two = [["x", "y"], ["3", "c"], ["4", "d"], ["1", "e"]]
+    path = tmp_path / "Book1.xlsx"
+    book(path, {"s1": one, "s2": two})
+    assert unite_sheets(spark, str(path), dedupe=False).count() == 6
+    out = unite_sheets(spark, str(path)).collect()
+    assert [tuple(r) for r in out] == [("1", "a"), ("2", "b"), ("3", "c"), ("4", "d")]
+    counts = unite_sheets(spark, str(path), [("x", None)], [("x", "k"), ("COUNT(*)", "n")])
+    assert [tuple(r) for r in counts.collect()] == [("1", 2), ("2", 1), ("3", 2), ("4", 1)]
+
+
 def test_no_files(spark, tmp_path):
     assert list_files(spark, str(tmp_path)).count() == 0
 
