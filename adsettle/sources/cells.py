@@ -79,12 +79,26 @@ def sheet_parts(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     return out
 
 
-def shared_strings(book: zipfile.ZipFile) -> list[str]:
-    """The workbook's string table."""
-    if "xl/sharedStrings.xml" not in book.namelist():
-        return []
-    with book.open("xl/sharedStrings.xml") as part:
-        return [text_of(item) for item in ended(part, "si")]
+class SharedStrings:
+    """The workbook's string table, read only as far as it is asked for."""
+
+    def __init__(self, book: zipfile.ZipFile):
+        self.known: list[str] = []
+        self.rest = self._read(book)
+
+    def _read(self, book: zipfile.ZipFile) -> Iterator[str]:
+        if "xl/sharedStrings.xml" in book.namelist():
+            with book.open("xl/sharedStrings.xml") as part:
+                for item in ended(part, "si"):
+                    yield text_of(item)
+
+    def __getitem__(self, index: int) -> str:
+        while len(self.known) <= index:
+            following = next(self.rest, None)
+            if following is None:
+                raise IndexError(f"shared string {index} is missing")
+            self.known.append(following)
+        return self.known[index]
 
 
 def column_index(reference: str) -> int:
@@ -97,7 +111,7 @@ def column_index(reference: str) -> int:
     return index - 1
 
 
-def sheet_cells(stream, strings: list[str]) -> Iterator[tuple[int, dict[int, str]]]:
+def sheet_cells(stream, strings: SharedStrings) -> Iterator[tuple[int, dict[int, str]]]:
     """(row number, {column: text}) for each row that has a value; numbers keep their own text."""
     number = 0
     places: dict[str, int] = {}
@@ -130,7 +144,7 @@ def sheet_cells(stream, strings: list[str]) -> Iterator[tuple[int, dict[int, str
 
 
 def sheet_table(
-    stream, strings: list[str]
+    stream, strings: SharedStrings
 ) -> tuple[list[str], Iterator[list[str | None]]] | None:
     """The headers of a sheet and an iterator over its rows; None for an empty sheet.
 
