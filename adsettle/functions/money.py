@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -71,18 +71,29 @@ def net(plus: Iterable[Column], minus: Iterable[Column] = ()) -> Column:
     return reduce(operator.sub, minus, reduce(operator.add, plus))
 
 
+# A net of more text amounts than this makes a generated method that the JVM would not compile.
+TERMS_PER_SUM = 6
+
+
 def settlement(
-    df: DataFrame, plus: Iterable[str], minus: Iterable[str] = (), lenient: bool = False
-) -> Column:
-    """Row-level net in which a missing amount counts as 0.
+    df: DataFrame, plus: Sequence[str], minus: Sequence[str] = (), lenient: bool = False
+) -> list[Column]:
+    """Row-level parts of a net in which a missing amount counts as 0.
 
-    Summing this one column gives the same total as summing every term and netting the sums, with
-    one aggregation buffer in place of one per term.
+    Their totals add up to the settlement: the same as summing every term and netting the sums, with
+    one aggregation buffer for six terms.
     """
-    def term(name: str) -> str:
-        return f"coalesce({money_sql(df, name, lenient)}, 0.0D)"
-
-    return F.expr(" + ".join(map(term, plus)) + "".join(f" - {term(c)}" for c in minus))
+    signed = [("+", c) for c in plus] + [("-", c) for c in minus]
+    return [
+        F.expr(
+            "0.0D"
+            + "".join(
+                f" {sign} coalesce({money_sql(df, c, lenient)}, 0.0D)"
+                for sign, c in signed[at : at + TERMS_PER_SUM]
+            )
+        )
+        for at in range(0, len(signed), TERMS_PER_SUM)
+    ]
 
 
 def beyond_tolerance(*measures: Column) -> Column:

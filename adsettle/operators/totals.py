@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from adsettle.functions.money import TOLERANCE, quoted, settlement
+from adsettle.functions.money import TOLERANCE, net, quoted, settlement
 from adsettle.operators.projection import Projection, select_list
 
 
@@ -97,7 +97,7 @@ def active_accounts(
     rows: DataFrame, key: str, plus: Sequence[str], minus: Sequence[str] = ()
 ) -> DataFrame:
     """How many accounts have a row whose net is above the tolerance."""
-    value = settlement(rows, plus, minus)
+    value = net(settlement(rows, plus, minus))
     return (
         rows.filter(value > F.lit(TOLERANCE))
         .select(F.col(quoted(key)).alias("account"))

@@ -58,11 +58,18 @@ def test_net_is_null_with_a_null_operand_but_settlement_is_not(spark):
     df = spark.createDataFrame([("5", None, "1"), ("5", "2", "1")], "a string, b string, c string")
     out = df.select(
         net([money(df, "a")], [money(df, "b"), money(df, "c")]).alias("net"),
-        settlement(df, ["a", "b"], ["c"]).alias("settled"),
+        net(settlement(df, ["a", "b"], ["c"])).alias("settled"),
     ).collect()
     assert [tuple(r) for r in out] == [(None, 4.0), (2.0, 6.0)]
 
 
+def test_long_settlements_come_in_parts(spark):
+    names = [f"c{i}" for i in range(14)]
+    df = spark.createDataFrame([tuple(str(2**i) for i in range(14))], names)
+    parts = settlement(df, names[:3], names[3:])
+    assert len(parts) == 3 and df.select(net(parts)).first()[0] == 7 - (2**14 - 8)
+
+
 def test_tolerance(spark):
     values = [0.0, 0.000005, -0.000005, 0.00001, 0.00002, -0.00002, None, float("nan")]
     df = spark.createDataFrame([(v,) for v in values], "x double")

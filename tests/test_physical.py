@@ -7,6 +7,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from adsettle.plans import media, monthly, weekly
+from adsettle.plans.dimension import MONTH_ACCOUNT
 from catalog import sources as S
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,16 +39,60 @@ def no_broadcast(static):
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_generated_methods_compile_and_nothing_is_crossed(static, name):
     df = contract.queries()[name](static, FOLDER)
-    plan = df._jdf.queryExecution().executedPlan()
-    debug = getattr(static._jvm, "org.apache.spark.sql.execution.debug.package")
-    stages = debug.codegenStringSeq(plan)
-    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
-    assert all(size < JIT_LIMIT for size in sizes)
-    text = plan.toString()
+    assert all(size < JIT_LIMIT for size in method_sizes(static, df))
+    text = plan_of(df)
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython"):
         assert operator not in text
 
 
+def method_sizes(spark, df) -> list[int]:
+    debug = getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package")
+    stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+
+
+@pytest.mark.parametrize("lenient", [False, True])
+def test_settlements_of_landed_text_compile(static, tmp_path, lenient):
+    """Every settlement over all-text Parquet, as exports are landed."""
+
+    def landed(headers):
+        names = [f.headers if hasattr(f, "headers") else f for f in headers.values()]
+        flat = {h: None for n in names for h in ((n,) if isinstance(n, str) else n)}
+        path = str(tmp_path / str(len(list(tmp_path.iterdir()))))
+        schema = ", ".join(f"`{h}` string" for h in flat)
+        static.createDataFrame([], schema).write.parquet(path)
+        return static.read.parquet(path)
+
+    account = landed(MONTH_ACCOUNT).withColumnsRenamed({v: k for k, v in MONTH_ACCOUNT.items()})
+    results = [
+        weekly.guangdiantong(landed(weekly.GUANGDIANTONG), account, "p", lenient),
+        weekly.guangdiantong_provider(landed(weekly.GUANGDIANTONG_PROVIDER), account, "p", lenient),
+        weekly.kuaishou(
+            landed(weekly.KUAISHOU_SPEND), landed(weekly.KUAISHOU_RECHARGE), account, "p", lenient
+        ),
+        weekly.toutiao(
+            landed(weekly.TOUTIAO_SPEND),
+            landed(weekly.TOUTIAO_TRANSFER),
+            landed(weekly.TOUTIAO_WALLET),
+            account,
+            lenient,
+        ),
+        monthly.kuaishou_ordered(landed(monthly.KUAISHOU), account, lenient),
+        monthly.guangdiantong(landed(monthly.GUANGDIANTONG), account, lenient),
+        monthly.guangdiantong_large(landed(monthly.GUANGDIANTONG_LARGE), account, lenient),
+        monthly.toutiao(landed(monthly.TOUTIAO), account, lenient),
+    ]
+    parts = {
+        "汇川": media.unify(landed(media.GENERAL_V1).withColumnsRenamed(
+            {v: k for k, v in media.GENERAL_V1.items()}), "general v1", lenient),
+        "趣头条": media.unify(landed(media.QUTOUTIAO).withColumnsRenamed(
+            {v: k for k, v in media.QUTOUTIAO.items()}), "qutoutiao", lenient),
+    }
+    results.append(media.media_merge(parts, account))
+    for result in results:
+        assert max(method_sizes(static, result)) < JIT_LIMIT
+
+
 def test_scans_read_only_what_is_needed(static):
     text = plan_of(contract.queries()["week_single"](static, FOLDER))
     scan = next(line for line in text.splitlines() if "l_partkey" in line and "FileScan" in line)
