@@ -19,13 +19,21 @@ _ROW_BITS = (1 << 33) - 1
 
 
 def with_pages(df: DataFrame, cap: int, order: Sequence[Column | str] = ()) -> DataFrame:
-    """Add ``row_index`` (from 0) and ``page`` (from 1), ``cap`` rows to a page.
+    """Add ``row_index`` (from 0) and ``page`` (from 1), ``cap`` rows to a page."""
+    return counted_pages(df, cap, order)[0]
+
+
+def counted_pages(
+    df: DataFrame, cap: int, order: Sequence[Column | str] = ()
+) -> tuple[DataFrame, int, int]:
+    """``with_pages``, and how many rows and pages there are.
 
     With ``order`` the index follows the global order: a range sort, never a one-partition window.
     Rows that tie are put in order of a hash of the whole row, so that one value shared by many rows
-    does not fill a partition. Without ``order`` no sort happens. The numbered rows are written once, because two runs of a range
-    sort need not cut the same partitions; then one number per partition is counted from the
-    narrow columns, and an index is a row's place in its partition plus the rows before it.
+    does not fill a partition. Without ``order`` no sort happens. The numbered rows are written once,
+    because two runs of a range sort need not cut the same partitions; then one number per partition
+    is counted from the narrow columns, and an index is a row's place in its partition plus the rows
+    before it.
     """
     if cap < 1:
         raise ValueError("a page holds at least one row")
@@ -44,12 +52,13 @@ def with_pages(df: DataFrame, cap: int, order: Sequence[Column | str] = ()) -> D
         before += n
     # One row per task of the write above, whatever the data holds: safe to broadcast.
     starts = df.sparkSession.createDataFrame(offsets, "_part int, _before long")
-    return (
+    paged = (
         placed.join(F.broadcast(starts), "_part")
         .withColumn("row_index", F.col("_before") + F.col("_place"))
         .withColumn("page", (F.floor(F.col("row_index") / F.lit(cap)) + 1).cast("long"))
         .drop("_part", "_place", "_before")
     )
+    return paged, before, -(-before // cap)
 
 
 def top_rows(df: DataFrame, count: int, order: Sequence[Column | str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adsettle.functions.money import rejected
 from adsettle.functions.ports import port_column
 from adsettle.operators.merge import union_all
-from adsettle.operators.pages import with_pages
+from adsettle.operators.pages import counted_pages
 from adsettle.operators.projection import (
     Field,
     bind,
@@ -37,7 +37,6 @@ from adsettle.plans.unite import unite_sheets
 from adsettle.session import staging_path
 from adsettle.sinks.tables import (
     append_table,
-    extent,
     one_task_per_page,
     replace_table,
     write_pages,
@@ -330,8 +329,7 @@ def _order_books(spark: SparkSession, folder: str) -> str:
         "o_orderkey",
         *[F.expr(e).alias(h) for h, e in _BOOK.items()],
     )
-    paged = with_pages(rows, 6000, ["o_orderkey"])
-    _, pages = extent(paged)
+    paged, _, pages = counted_pages(rows, 6000, ["o_orderkey"])
     sheet = F.floor(F.col("row_index") % 6000 / 2000) + 1
     placed = one_task_per_page(paged, pages).withColumns(
         {
@@ -461,8 +459,7 @@ def settle_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """A whole monthly run: line items as workbooks of an entry, no account list, pages out."""
     base, out = staging_path(spark, "base"), staging_path(spark, "out")
     rows = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU)
-    paged = with_pages(rows, 20_000)
-    _, pages = extent(paged)
+    paged, _, pages = counted_pages(rows, 20_000)
     placed = one_task_per_page(paged, pages).withColumns(
         {
             "_file": F.concat(F.lit(f"{base}/快手-a/快手 "), F.col("page"), F.lit(".xlsx")),
