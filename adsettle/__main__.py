@@ -1,4 +1,4 @@
-"""``spark-submit -m``-style entry: settle a folder of entries.
+"""Settle a folder of entries as a job of its own.
 
     python -m adsettle month /data/2024-06 /data/out --kind csv --choose 广点通-北:main=a.xlsx
 """

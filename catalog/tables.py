@@ -481,7 +481,6 @@ _ENTRY = (
     " when 'FURNITURE' then '快手大健康金牛全站-执象' when 'HOUSEHOLD' then '快手' else '其他' end,"
     " '-', c_nationkey)"
 )
-_ENTRY_SQL = _ENTRY
 
 
 @query(
@@ -495,7 +494,7 @@ SELECT entry, substr(entry, strpos(entry, '-') + 1) AS port,
             WHEN starts_with(entry, '快手大健康金牛全站-执象') THEN 'kuaishou_ordered'
             WHEN starts_with(entry, '快手') THEN 'kuaishou' END AS month_query,
        count(*) AS n
-FROM (SELECT {_ENTRY_SQL} AS entry FROM customer) GROUP BY entry"""
+FROM (SELECT {_ENTRY} AS entry FROM customer) GROUP BY entry"""
 )
 def entry_routing(spark: SparkSession, folder: str) -> DataFrame:
     """The query of every entry name, by longest registered beginning."""
