@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from adsettle.llm.base import QUERIES, SQL, Query
 
 for _name in (
-    "anomaly bpe warc bayes licenses decontamination languages near_duplicates".split()
+    "anomaly templates bpe warc bayes licenses decontamination languages near_duplicates".split()
 ):
     importlib.import_module(f"adsettle.llm.{_name}")
 
