@@ -238,7 +238,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     )
     stays = stage(stays, "kept")
     same = docs["doc_id"] == F.col(name)
-    kept = docs.join(stays.filter(F.col(n) == 1), same, "left_semi")
+    # One row per group: it grows with the corpus, and in memory to many times its file, so it isn't to be broadcast.
+    kept = docs.join(stays.filter(F.col(n) == 1).hint("merge"), same, "left_semi")
     repeated = stays.filter(F.col(n) > 1)
     if not repeated.isEmpty():
         kept = kept.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
