@@ -42,7 +42,8 @@ def money_sql(df: DataFrame, name: str, lenient: bool = False) -> str:
     cell = quoted(name)
     if not isinstance(df.schema[name].dataType, T.StringType):
         return f"CAST({cell} AS DOUBLE)"
-    plain = f"TRY_CAST(concat({cell}, 'd') AS DOUBLE)"
+    # hexadecimal floats are refused: without its x such text is no number
+    plain = f"TRY_CAST(concat(translate({cell}, 'xX', '??'), 'd') AS DOUBLE)"
     other = (
         f"TRY_CAST(CASE WHEN {cell} RLIKE r'(?i){_NUMBER}' THEN replace({cell}, '_', '') END"
         " AS DOUBLE)"

@@ -46,15 +46,15 @@ def spend_with_recharge(
     any amount beyond the tolerance go. An account that has two recharge rows keeps both, each with
     the whole spend. NULL keys never meet.
     """
-    k1, k2 = spend.alias("k1"), recharge.alias("k2")
+    spent, paid = spend.alias("spent"), recharge.alias("paid")
     k = quoted(key)
-    merged = k1.join(k2, F.col(f"k1.{k}") == F.col(f"k2.{k}"), "full").select(
+    merged = spent.join(paid, F.col(f"spent.{k}") == F.col(f"paid.{k}"), "full").select(
         *[
-            F.coalesce(F.col(f"k1.{quoted(c)}"), F.col(f"k2.{quoted(c)}")).alias(c)
+            F.coalesce(F.col(f"spent.{quoted(c)}"), F.col(f"paid.{quoted(c)}")).alias(c)
             for c in [key, *labels]
         ],
-        or_zero(F.col(f"k1.{quoted(spend_name)}")).alias(spend_name),
-        or_zero(F.col(f"k2.{quoted(recharge_name)}")).alias(recharge_name),
+        or_zero(F.col(f"spent.{quoted(spend_name)}")).alias(spend_name),
+        or_zero(F.col(f"paid.{quoted(recharge_name)}")).alias(recharge_name),
     )
     return merged.filter(
         beyond_tolerance(F.col(quoted(spend_name)), F.col(quoted(recharge_name)))

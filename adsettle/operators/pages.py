@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsettle.functions.money import quoted
 from adsettle.session import stage
 
 # Rows per output file, plain and small-page results.
@@ -29,15 +28,19 @@ def counted_pages(
     """``with_pages``, and how many rows and pages there are.
 
     With ``order`` the index follows the global order: a range sort, never a one-partition window.
-    Rows that tie are put in order of a hash of the whole row, so that one value shared by many rows
-    does not fill a partition. Without ``order`` no sort happens. The numbered rows are written once,
+    Rows that tie are put in order of a number of their own, so that neither one value nor equal rows
+    fill a partition. Without ``order`` no sort happens. The numbered rows are written once,
     because two runs of a range sort need not cut the same partitions; then one number per partition
     is counted from the narrow columns, and an index is a row's place in its partition plus the rows
     before it.
     """
     if cap < 1:
         raise ValueError("a page holds at least one row")
-    placed = df.orderBy(*order, F.xxhash64(*map(quoted, df.columns))) if order else df
+    placed = df
+    if order:
+        # rows are numbered where they lie; which number a row gets may change until the rows are staged
+        own = F.monotonically_increasing_id()
+        placed = df.withColumn("_tie", own).orderBy(*order, F.hash("_tie"), "_tie").drop("_tie")
     placed = placed.withColumns(
         {
             "_part": F.spark_partition_id(),

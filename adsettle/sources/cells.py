@@ -148,32 +148,28 @@ def sheet_table(
 ) -> tuple[list[str], Iterator[list[str | None]]] | None:
     """The headers of a sheet and an iterator over its rows; None for an empty sheet.
 
-    The table starts at the first row with a value, spans that row's unbroken run of values, and
-    ends before the first row that is empty across the span. A header that comes again gets a
-    number.
+    The first row with a value holds the headers; every column that has one belongs to the table,
+    also behind columns without. Rows that hold nothing in these columns are passed over, and the
+    table goes on behind them to the sheet's end. A header that comes again gets a number.
     """
     rows = sheet_cells(stream, strings)
     first = next(rows, None)
     if first is None:
         return None
-    number, top = first
-    left = min(top)
+    _, top = first
+    span = sorted(top)
     headers: list[str] = []
-    while (at := left + len(headers)) in top:
+    for at in span:
         name, again = top[at], 0
         while name in headers:
             again += 1
             name = f"{top[at]}_{again}"
         headers.append(name)
-    span = range(left, left + len(headers))
 
     def body() -> Iterator[list[str | None]]:
-        expected = number
-        for row, cells in rows:
-            expected += 1
+        for _, cells in rows:
             values = [cells.get(i) for i in span]
-            if row != expected or not any(v is not None for v in values):
-                return
-            yield values
+            if any(v is not None for v in values):
+                yield values
 
     return headers, body()

@@ -77,7 +77,7 @@ SELECT {CUSTOMER_SQL}, name AS "账户名称", round(CAST(settled AS DOUBLE), 2)
 FROM s LEFT JOIN account ON k = id"""
 )
 def month_3plus_9minus(spark: SparkSession, folder: str) -> DataFrame:
-    raw = S.export(spark, folder, "lineitem", S.MONTH_GUANGDIANTONG, typed=True)
+    raw = S.export(spark, folder, "lineitem", S.MONTH_GUANGDIANTONG)
     return cents(monthly.guangdiantong(raw, S.account(spark, folder)), "结算消耗", "总消耗")
 
 
@@ -95,7 +95,7 @@ SELECT k AS "账户ID", name AS "账户名称", n2 AS "客户名称", box AS "k
 FROM s LEFT JOIN account ON k = id"""
 )
 def month_3plus_11minus(spark: SparkSession, folder: str) -> DataFrame:
-    raw = S.export(spark, folder, "lineitem", S.MONTH_GUANGDIANTONG, typed=True)
+    raw = S.export(spark, folder, "lineitem", S.MONTH_GUANGDIANTONG)
     return cents(monthly.guangdiantong_large(raw, S.account(spark, folder)), "结算消耗")
 
 
@@ -119,7 +119,7 @@ FROM s LEFT JOIN account ON k = id)"""
 
 
 def _kuaishou(spark: SparkSession, folder: str) -> DataFrame:
-    raw = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU, typed=True)
+    raw = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU)
     out = monthly.kuaishou(raw, S.account(spark, folder))
     return cents(out, "结算消耗", "框返花费(元)", "总消耗")
 
@@ -131,7 +131,7 @@ def month_four_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(FOUR_SUM_SQL + 'SELECT * FROM out ORDER BY "结算消耗" DESC, "账户ID" NULLS LAST')
 def month_ordered(spark: SparkSession, folder: str) -> DataFrame:
-    raw = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU, typed=True)
+    raw = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU)
     out = monthly.kuaishou_ordered(raw, S.account(spark, folder))
     return cents(out, "结算消耗", "框返花费(元)", "总消耗")
 
@@ -182,10 +182,10 @@ def try_cast_net(spark: SparkSession, folder: str) -> DataFrame:
 
 MEDIA_SQL = {
     "汇川": """
-  SELECT 'client ' || (o_custkey % 4) AS customer_name,
-         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS consumption,
-         CAST(o_custkey AS VARCHAR) AS account_id, 'acct ' || o_custkey AS account_name,
-         o_orderpriority AS platform_new_customer, '汇川' AS data_source FROM orders""",
+  SELECT 'client ' || (o_custkey % 4) AS 客户名称_原始,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS 消费,
+         CAST(o_custkey AS VARCHAR) AS 账户id, 'acct ' || o_custkey AS 账户名称,
+         o_orderpriority AS 平台新客, '汇川' AS data_source FROM orders""",
     "其他综媒": """
   SELECT c_mktsegment, c_acctbal, CAST(c_custkey AS VARCHAR), c_name,
          CAST(c_nationkey AS VARCHAR), '其他综媒' FROM customer""",
@@ -203,23 +203,23 @@ MEDIA_SQL = {
 def _merge_sql(names: list[str], account: bool) -> str:
     union = " UNION ALL ".join(MEDIA_SQL[n] for n in names)
     dims = "n2, n3, n4, n5, n6, n7, n8"
-    join = "LEFT JOIN account ON account_id = id"
+    join = "LEFT JOIN account ON 账户id = id"
     if not account:
         dims = ", ".join(f"CAST(NULL AS VARCHAR) AS n{i}" for i in range(2, 9))
         join = ""
     return f"""
 WITH {S.ACCOUNT_SQL},
 parts AS ({union}),
-named AS (SELECT customer_name, consumption, account_id, account_name, platform_new_customer,
+named AS (SELECT 客户名称_原始, 消费, 账户id, 账户名称, 平台新客,
                  data_source FROM parts),
 joined AS (SELECT named.*, {dims} FROM named {join})
-SELECT n2 AS "客户名称", n3 AS "客户编号", customer_name AS "客户名称_原始", min(n4) AS "AE",
+SELECT n2 AS "客户名称", n3 AS "客户编号", 客户名称_原始 AS "客户名称_原始", min(n4) AS "AE",
        min(n5) AS "销售", min(n7) AS "返点形式", min(n6) AS "返点比率", min(n8) AS "端口",
-       round(sum(coalesce(consumption, 0)), 2) + 0.0 AS "消费", account_id AS "账户id",
-       min(account_name) AS "账户名称", min(platform_new_customer) AS "平台新客"
+       round(sum(coalesce(消费, 0)), 2) + 0.0 AS "消费", 账户id AS "账户id",
+       min(账户名称) AS "账户名称", min(平台新客) AS "平台新客"
        {', min(data_source) AS "数据源"' if len(names) > 1 else ""}
-FROM joined GROUP BY account_id, customer_name, n2, n3
-ORDER BY "消费" DESC, account_id, customer_name"""
+FROM joined GROUP BY 账户id, 客户名称_原始, n2, n3
+ORDER BY "消费" DESC, 账户id, 客户名称_原始"""
 
 
 def _parts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -251,20 +251,20 @@ def media_merge_no_account(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
 WITH parts AS ({" UNION ALL ".join(MEDIA_SQL.values())})
-SELECT data_source, customer_name, count(*) AS n,
-       count(platform_new_customer) AS with_new_customer,
-       round(sum(coalesce(consumption, 0)), 2) + 0.0 AS consumption
-FROM parts GROUP BY data_source, customer_name"""
+SELECT data_source, 客户名称_原始, count(*) AS n,
+       count(平台新客) AS with_new_customer,
+       round(sum(coalesce(消费, 0)), 2) + 0.0 AS 消费
+FROM parts GROUP BY data_source, 客户名称_原始"""
 )
 def media_union(spark: SparkSession, folder: str) -> DataFrame:
     """The tagged union of four unlike sources, summed up by tag."""
     rows = tagged_union(_parts(spark, folder), "data_source")
-    out = rows.groupBy("data_source", "customer_name").agg(
+    out = rows.groupBy("data_source", "客户名称_原始").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count("platform_new_customer").alias("with_new_customer"),
-        F.sum(or_zero(F.col("consumption"))).alias("consumption"),
+        F.count("平台新客").alias("with_new_customer"),
+        F.sum(or_zero(F.col("消费"))).alias("消费"),
     )
-    return cents(out, "consumption")
+    return cents(out, "消费")
 
 
 # Pages.

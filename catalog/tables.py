@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsettle.functions.money import rejected
@@ -102,15 +102,15 @@ def row_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
 SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name,
-       MAP {{'BIGINT': 'bigint', 'INTEGER': 'int', 'DOUBLE': 'double', 'VARCHAR': 'string'}}
-         [column_type] AS column_type,
+       MAP {{'BIGINT': 'bigint', 'INTEGER': 'int', 'DOUBLE': 'double', 'VARCHAR': 'string',
+             'TIMESTAMP': 'timestamp_ntz'}}[column_type] AS column_type,
        (SELECT count(*) FROM orders) AS row_count
-FROM (DESCRIBE SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+FROM (DESCRIBE SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+                      CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, o_orderpriority
       FROM orders)"""
 )
 def describe_columns(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    return describe(table(spark, folder, "orders").select(*columns))
+    return describe(table(spark, folder, "orders"))
 
 
 @query(
@@ -185,7 +185,7 @@ def coalesced_column(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _media_files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Orders by priority as files of one medium; HIGH has other headers, LOW has no rows."""
+    """Orders by priority as files of one medium; the second has other headers, the last no rows."""
     orders = table(spark, folder, "orders")
     spelled = {
         "customer": "o_orderstatus",
@@ -197,46 +197,47 @@ def _media_files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     v2 = dict(zip(["客户名称", "花费", "账户ID", "账户名称", "新客"], spelled.values(), strict=True))
     v1 = dict(zip(["客户名称", "消费", "账户id", "账户名称", "平台新客"], spelled.values(), strict=True))
 
-    def file(test: str, headers: dict[str, str]) -> DataFrame:
+    def file(test: Column, headers: dict[str, str]) -> DataFrame:
         return as_export(orders.filter(test), headers)
 
-    return {
-        "1-URGENT": file("o_orderpriority = '1-URGENT'", v2),
-        "2-HIGH": file("o_orderpriority = '2-HIGH'", v1),
-        "3-MEDIUM": file("o_orderpriority = '3-MEDIUM'", v2),
-        "4-NOT SPECIFIED": file("o_orderpriority = '4-NOT SPECIFIED'", v2),
-        "5-LOW": file("o_orderpriority = '5-LOW' AND o_totalprice < 0", v2),
-    }
+    names = sorted(r[0] for r in orders.select("o_orderpriority").distinct().collect())
+    out = {}
+    for i, name in enumerate(names):
+        test = F.col("o_orderpriority") == name
+        out[name] = file(test & F.lit(i < len(names) - 1), v1 if i == 1 else v2)
+    return out
 
 
 @query(
     """
-SELECT o_orderstatus AS customer_name, o_orderpriority AS file, count(*) AS n,
-       round(sum(o_totalprice), 2) AS consumption
-FROM orders WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM', '4-NOT SPECIFIED') GROUP BY ALL"""
+SELECT o_orderstatus AS 客户名称_原始, o_orderpriority AS file, count(*) AS n,
+       round(sum(o_totalprice), 2) AS 消费
+FROM (SELECT *, dense_rank() OVER (ORDER BY o_orderpriority) AS place FROM orders)
+WHERE place <> 2 AND place < (SELECT count(DISTINCT o_orderpriority) FROM orders) GROUP BY ALL"""
 )
 def schema_fallback(spark: SparkSession, folder: str) -> DataFrame:
     """The first file settles which spelling counts; files that differ or are empty are left out."""
     mapping, bound, _ = bind_files(_media_files(spark, folder), media.mappings_of("汇川"))
     rows = media.unify(bound, mapping)
-    out = rows.groupBy("customer_name", F.col("platform_new_customer").alias("file")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("consumption").alias("consumption")
+    out = rows.groupBy("客户名称_原始", F.col("平台新客").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("消费").alias("消费")
     )
-    return cents(out, "consumption")
+    return cents(out, "消费")
 
 
 @query(
     """
 SELECT o_orderpriority AS file, 'general v2' AS mapping,
-       CASE WHEN o_orderpriority IN ('2-HIGH', '5-LOW') THEN 'skipped' ELSE 'loaded' END AS status,
-       CASE WHEN o_orderpriority IN ('2-HIGH', '5-LOW') THEN 0 ELSE count(*) END AS n
-FROM orders GROUP BY o_orderpriority"""
+       CASE WHEN place = 2 OR place = max(place) OVER () THEN 'skipped' ELSE 'loaded' END AS status,
+       CASE WHEN place = 2 OR place = max(place) OVER () THEN 0 ELSE c END AS n
+FROM (SELECT o_orderpriority, count(*) AS c, row_number() OVER (ORDER BY o_orderpriority) AS place
+      FROM orders GROUP BY o_orderpriority)"""
 )
 def load_report(spark: SparkSession, folder: str) -> DataFrame:
     """Per file: the mapping, whether it was loaded, and how many rows."""
     _, bound, outcome = bind_files(_media_files(spark, folder), media.mappings_of("汇川"))
     files = spark.createDataFrame(outcome, "file string, mapping string, status string")
-    loaded = bound.groupBy(F.col("platform_new_customer").alias("file")).agg(
+    loaded = bound.groupBy(F.col("平台新客").alias("file")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return files.join(loaded, "file", "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -256,7 +257,7 @@ def multi_file_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = staging_path(spark, "csv")
     orders = table(spark, folder, "orders").withColumn("part", F.col("o_orderstatus"))
     orders.write.partitionBy("part").option("header", "true").csv(path)
-    rows = read_landed(spark, [f"{path}/part={s}" for s in "FOP"], "csv")
+    rows = read_landed(spark, f"{path}/part=*", "csv")
     per_account = rows.groupBy("o_orderstatus", "o_custkey").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("double")).alias("total")
     )
@@ -474,6 +475,69 @@ def settle_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     return cents(result, "结算消耗", "框返花费(元)", "总消耗")
 
 
+@query(
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS account, o_totalprice AS amount
+FROM orders"""
+)
+def workbook_blank_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders from sheets with a blank row behind every third one: all come back."""
+    path = staging_path(spark, "blank")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    blank = orders.filter("o_orderkey % 3 = 0").select(
+        "o_orderkey", *[F.lit(None).cast(t).alias(c) for c, t in orders.dtypes[1:]]
+    )
+    both = orders.withColumn("blank", F.lit(0)).unionByName(blank.withColumn("blank", F.lit(1)))
+    paged, _, pages = counted_pages(both, 5000, ["o_orderkey", "blank"])
+    shown = F.when(F.col("blank") == 0, F.col("o_orderkey"))
+    placed = one_task_per_page(paged, pages).select(
+        F.concat(F.lit(f"{path}/快手-a/快手 "), F.col("page"), F.lit(".xlsx")).alias("_file"),
+        F.lit("s").alias("_sheet"),
+        shown.alias("订单"),
+        F.col("o_custkey").alias("账户ID"),
+        F.col("o_totalprice").alias("金额"),
+    )
+    report = write_books(placed, "_file", "_sheet", ["订单", "账户ID", "金额"])
+    report.write.parquet(f"{path}-report")
+    wanted = fields({"id": "订单", "account": "账户ID", "amount": "金额"})
+    rows = read_sheets(list_sheets(list_files(spark, path)), wanted).drop("path", "sheet")
+    return rows.withColumn("amount", F.col("amount").cast("double"))
+
+
+def _medium_books(spark: SparkSession, orders: DataFrame, path: str, headers: dict[str, str]) -> None:
+    """Some orders as one workbook of a medium."""
+    shaped = orders.select(*[F.expr(e).alias(h) for h, e in headers.items()])
+    placed = shaped.coalesce(1).withColumns({"_file": F.lit(path), "_sheet": F.lit("s")})
+    write_books(placed, "_file", "_sheet", list(headers)).write.parquet(f"{path}-report")
+
+
+@query(
+    """
+SELECT '汇川1.xlsx' AS file_name, 'general v2' AS mapping, 'loaded' AS status, count(*) AS n
+FROM orders WHERE o_custkey % 100 = 1
+UNION ALL SELECT '汇川2.xlsx', 'general v2', 'skipped', 0
+UNION ALL SELECT '小红书.xlsx', NULL, 'skipped', 0"""
+)
+def batch_load_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of a monthly run over a good file, one with other headers and a refused medium."""
+    base, out = staging_path(spark, "media"), staging_path(spark, "media-out")
+    orders = table(spark, folder, "orders")
+    v2 = {"客户名称": "o_orderstatus", "花费": "o_totalprice", "账户ID": "o_custkey",
+          "账户名称": "concat('acct ', o_custkey)", "新客": "o_orderpriority"}
+    _medium_books(spark, orders.filter("o_custkey % 100 = 1"), f"{base}/综媒/汇川1.xlsx", v2)
+    other = {"无": "o_custkey", "花费": "o_totalprice"}
+    _medium_books(spark, orders.filter("o_custkey % 100 = 2"), f"{base}/综媒/汇川2.xlsx", other)
+    _medium_books(spark, orders.filter("o_custkey % 100 = 3"), f"{base}/综媒/小红书.xlsx", other)
+    summary = run_batch(spark, base, out, "month", kind="parquet").first()
+    if summary["status"] != "partial":
+        raise ValueError(f"{summary['status']}: {summary['message']}")
+    report = spark.read.parquet(f"{out}/_load_output_month_综媒")
+    return report.select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"), "mapping", "status",
+        F.col("rows").alias("n"),
+    )
+
+
 # Entries and files by name.
 
 _ENTRY = (
@@ -574,23 +638,23 @@ _WEEK_FILE = (
 
 @query(
     f"""
-SELECT role, count(*) AS files FROM (
+SELECT entry, role, count(*) AS files FROM (
   SELECT unnest(['main', 'spend', 'recharge', 'wallet']) AS role,
-         unnest(['', '消耗', '充值', '共享钱包']) AS word, name
+         unnest(['', '消耗', '充值', '共享钱包']) AS word, name, substr(name, 1, 4) AS entry
   FROM (SELECT {_WEEK_FILE} AS name FROM orders))
-WHERE starts_with(name, '头条-1') AND regexp_matches(substr(name, 5), word || '.*\\.xlsx$')
-GROUP BY role"""
+WHERE regexp_matches(substr(name, 5), word || '.*\\.xlsx$')
+GROUP BY entry, role"""
 )
 def file_roles(spark: SparkSession, folder: str) -> DataFrame:
-    """How many files of one weekly entry play each role."""
+    """How many files of each weekly entry play each role."""
     names = table(spark, folder, "orders").select(F.expr(_WEEK_FILE).alias("file_name"))
-    entry, name = F.lit("头条-1"), F.col("file_name")
+    entry, name = F.substring("file_name", 1, 4), F.col("file_name")
     roles = F.array(
         F.when(has_role(entry, name), "main"),
         *[F.when(has_role(entry, name, r), r) for r in ("spend", "recharge", "wallet")],
     )
     return (
-        names.select(F.explode(F.array_compact(roles)).alias("role"))
-        .groupBy("role")
+        names.select(entry.alias("entry"), F.explode(F.array_compact(roles)).alias("role"))
+        .groupBy("entry", "role")
         .agg(F.count(F.lit(1)).alias("files"))
     )

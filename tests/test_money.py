@@ -14,7 +14,7 @@ TEXTS = [
     "1", "1.5", " 1.5 ", "\t1\n", "1e3", "1E-3", "1e+3", ".5", "5.", "+1", "-2.25", "00012",
     "1_000", "1_000.5_5", "1e1_0", "1__000", "_1", "1_", "1_e3", "1d", "1.5F", "1e3d", "5f",
     "inf", "-inf", "+inf", "INF", "infinity", "nan", "NaN", "infd", "nand", "", "  ", "1,234",
-    "12元", "１", "+ 1", "-", "--1", "1 2", "true", "1e", "0x10", "1L", ".",
+    "12元", "１", "+ 1", "-", "--1", "1 2", "true", "1e", "0x10", "1L", ".", "0x1p3", "0X1P-2", "0x1.8p1",
 ]
 
 
@@ -31,7 +31,7 @@ def test_lenient_equals_the_sql_cast(spark):
         assert same(got[text], want), text
 
 
-@pytest.mark.parametrize("text", ["", "1,234", "12元", "1d", "1__0"])
+@pytest.mark.parametrize("text", ["", "1,234", "12元", "1d", "1__0", "0x1p3"])
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_strict_fails_and_names_the_cell(spark, text, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)

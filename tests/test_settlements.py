@@ -265,4 +265,4 @@ def test_media_single_source_has_no_source_column(spark):
 
 def test_third_spelling_and_fallback_of_qutoutiao(spark):
     raw = table(spark, ["客户名称", "成本", "账号ID", "账号名称", "平台新客"], [["c", "2", "1", "n", None]])
-    assert media.medium_part(raw, "趣头条").first()["consumption"] == 2.0
+    assert media.medium_part(raw, "趣头条").first()["消费"] == 2.0
