@@ -1,0 +1,76 @@
+"""Byte-level BPE against the tokenizer library."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import public_tokenizers as tokenizers_of
+import pytest
+import tiktoken
+
+from adsettle.llm import bpe as B
+
+SF = "/root/testdata/sf0.001"
+FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+@pytest.fixture(scope="module")
+def peer():
+    ranks = B.read_ranks(tokenizers_of.path(FILE))
+    return tiktoken.Encoding("own", pat_str=tokenizers_of.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return B.Codec(B.split_table(B.read_ranks(tokenizers_of.path(FILE))), tokenizers_of.PATTERN)
+
+
+def test_random_texts(codec, peer, monkeypatch):
+    monkeypatch.setattr(B, "REMEMBERED", 50)  # memories are emptied on the way
+    draw = random.Random(4)
+    sets = ["ab", "aab ", "abc'st ", "0123 .,!?-=", "éüß日本語x ", "a\n\t   ", "''s're \r\n", "😀🏽 é"]
+    for _ in range(4000):
+        text = "".join(draw.choice(draw.choice(sets)) for _ in range(draw.randrange(80)))
+        ids = codec.encode(text)
+        assert ids == peer.encode_ordinary(text), repr(text)
+        assert codec.decode(ids) == text.encode()
+
+
+def test_long_pieces(codec, peer):
+    for text in ("a" * 20_000, "=-" * 9000, " " * 5000 + "x", "日本" * 4000):
+        assert codec.encode(text) == peer.encode_ordinary(text)
+
+
+def test_unreachable_tokens():
+    """A token that merging never yields stands for an equal piece alone."""
+    ranks = {bytes([i]): i for i in range(256)} | {b"bc": 256, b"ab": 257, b"abc": 258, b"abcd": 259}
+    ranks[b"xyz"] = 260  # neither xy nor yz is a token
+    codec = B.Codec(B.split_table(ranks), r"\S+|\s+")
+    peer = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    for text in ("abcd", "aabcd", "xyz", "xyzz", "abc", "ababc"):
+        assert codec.piece(text.encode()) == tuple(peer.encode_ordinary(text)), text
+
+
+def test_query(spark, peer):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    shared = B.share(spark, tokenizers_of.path(FILE), tokenizers_of.PATTERN)
+    got = {r.doc_id: r for r in B.digests(docs, shared, with_ids=True).collect()}
+    for r in docs.collect():
+        ids = peer.encode_ordinary(r.text or "")
+        mine = got[r.doc_id]
+        assert mine.ids == ids and mine.n_tokens == len(ids)
+        assert mine.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert mine.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, 5), (None, "", 5), (3, "x y", 5), (3, "x y", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
+    shared = B.share(spark, tokenizers_of.path(FILE), tokenizers_of.PATTERN)
+    found = sorted((str(r.doc_id), r.n_tokens) for r in B.digests(docs, shared).collect())
+    assert found == [("1", 0), ("3", 2), ("3", 2), ("None", 0)]
+    back = B.decode(B.encode(docs, shared), shared).collect()
+    assert [bytes(r.content).decode() for r in back] == ["", "", "x y", "x y"]
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert B.digests(empty, shared).collect() == []

@@ -1,0 +1,184 @@
+"""Rules, classifier, licenses, decontamination, languages and the pipeline over whole and odd tables."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+
+from adsettle.llm import anomaly, bayes, decontamination, languages, licenses
+from adsettle.llm.textstats import stats
+
+SF = "/root/testdata/sf0.01"
+ODD = [
+    (1, None, "en", "a", 1), (2, "", "en", "a", 1), (None, "Some words here", None, None, None),
+    (4, "x " * 30_000, "en", "a", 1), (4, "x " * 30_000, "en", "a", 1), (5, "word\n\nword\n", "de", "b", 2),
+]
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return {t: spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels", "benchmark")}
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    extra = ", kept string, evidence string, score string, n_words string, good string, lang_pred string"
+    return spark.createDataFrame([(*r, *"abcdef") for r in ODD], COLUMNS + extra)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], COLUMNS)
+
+
+def plain_stats(text: str) -> tuple:
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    inside = {i + j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(inside)
+
+
+def test_rule_statistics(given):
+    draw = random.Random(1)
+    texts = ["".join(draw.choice(["a", "b ", "é", "\n", "\t", "#", " ", " "]) for _ in range(60)) for _ in range(500)]
+    texts += [r.text for r in given["documents"].collect()]
+    for text in texts:
+        assert stats(text.encode())[:5] == plain_stats(text)
+
+
+def test_rules(given, odd, nothing):
+    out = {r.doc_id: r for r in anomaly.quality_rules(given["documents"], given["labels"]).collect()}
+    labels = {r.doc_id: r for r in given["labels"].collect()}
+    passing = [i for i in labels if not out[i].base_failed]
+    good = [out[i].kept for i in passing if labels[i].quality]
+    bad = [out[i].kept for i in passing if not labels[i].quality]
+    assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.1 * len(bad)
+    rows = anomaly.quality_rules(odd, given["labels"]).collect()
+    assert len(rows) == len(ODD) and not any(r.kept for r in rows)
+    assert anomaly.quality_rules(nothing, given["labels"]).collect() == []
+    free = anomaly.quality_rules(given["documents"], given["labels"].limit(0))
+    assert free.filter("kept = base_failed").isEmpty()
+
+
+def test_classifier(given, odd, nothing):
+    kept = {r.doc_id for r in bayes.good_documents(given["documents"], given["labels"]).collect()}
+    labels = {r.doc_id: r for r in given["labels"].collect()}
+    good = [i in kept for i, r in labels.items() if r.quality and not r.toxic]
+    bad = [i in kept for i, r in labels.items() if not r.quality]
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.2 * len(bad)
+    out = bayes.good_documents(odd, given["labels"])
+    assert out.columns == odd.columns and out.count() <= len(ODD)
+    assert bayes.good_documents(odd, given["labels"].limit(0)).count() == len(ODD)
+    assert bayes.good_documents(nothing, given["labels"]).collect() == []
+
+
+def test_shrinking(spark):
+    """Sparse paths lie near their host, and hosts near the whole."""
+    rows = [("big", "p", 0.9)] * 400 + [("big", "q", 0.1)] + [("small", "p", 0.0)] + [(f"h{i}", "p", i % 2 * 1.0) for i in range(40)] * 20
+    scored = spark.createDataFrame(rows, "h string, p string, x double")
+    got = {(r.host, r.path): r.rate for r in bayes.path_rates(scored, "h", "p", "x").collect()}
+    assert got["big", "p"] > 0.85 and got["big", "q"] > 0.1 and 0 < got["small", "p"] < 0.5
+    assert got["h1", "p"] > 0.8 and got["h0", "p"] < 0.2
+
+
+def test_licenses(given, odd, nothing):
+    def plain(text: str) -> tuple:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}))
+        places, labels = [], set()
+        for phrase, label in licenses.PHRASES.items():
+            want = phrase.decode().split()
+            own = [i for i in range(len(words)) if words[i : i + len(want)] == want]
+            places += own
+            labels |= {label} if own else set()
+        ends = (min(places), max(places)) if places else (None, None)
+        return len(words), len(places), *ends, ",".join(sorted(labels))
+
+    def matched(text: str) -> set[str]:
+        found = set()
+        for line in text.encode().split(b"\n"):
+            block = set(licenses.words_of(line))
+            for label, template in licenses.TEMPLATES:
+                own = set(licenses.words_of(template.encode()))
+                if len(own & block) >= licenses.THRESHOLD * len(own) - 1e-9:
+                    found.add(label)
+        return found
+
+    texts = {r.doc_id: r.text for r in given["documents"].collect()}
+    out = licenses.license_scan(given["documents"]).collect()
+    for r in out:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == plain(texts[r.doc_id])
+        both = matched(texts[r.doc_id]) | set(filter(None, r.base_labels.split(",")))
+        assert set(filter(None, r.labels.split(","))) == both and 0 <= r.score <= 1
+    ordered = licenses.Templates.order(licenses.TEMPLATES, {})
+    text = b"x cc by CC-BY cc by 4.0\nAll rights\nreserved. General Public License"
+    assert licenses.scan(text, ordered)[:5] == (15, 5, 1, 12, "cc-by,gpl,reserved")
+    assert len(licenses.license_scan(odd).collect()) == len(ODD)
+    assert licenses.license_scan(nothing).collect() == []
+
+
+def test_decontamination(spark, given, nothing):
+    items = {r.item_id: r.text for r in given["benchmark"].collect()}
+    docs = given["documents"]
+    out = decontamination.with_leaks(docs, given["benchmark"], "leaks")
+    squeeze = lambda t: " ".join(t.lower().split())
+    for r in out.select("text", "leaks").collect():
+        exact = {i for i, t in items.items() if f" {squeeze(t)} " in f" {squeeze(r.text)} "}
+        assert exact <= {x.item_id for x in r.leaks}
+
+
+def all_windows(words, item):
+    """Greatest similarity of any window, by trying all."""
+    k = min(5, len(item))
+    shingles = lambda w: Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    own = shingles(item)
+    return max((decontamination.similarity(shingles(words[i : i + len(item)]), own) for i in range(len(words) - len(item) + 1)), default=0.0)
+
+
+def test_near_windows_and_blocks(spark, monkeypatch):
+    """Altered passages: what is 0.8 similar is found, whether items come in one block or in many."""
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randrange(1, 4)))
+    items = [[word() for _ in range(n)] for n in (1, 3, 5, 12, 20, 40, 57)] * 2
+    docs = []
+    for item in items * 6:
+        altered = list(item)
+        for _ in range(draw.choice([0, 0, 1, 2])):
+            altered[draw.randrange(len(item))] = word()
+        docs.append([*(word() for _ in range(draw.randrange(30))), *altered, *(word() for _ in range(9))])
+    frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)] + [(-1, None), (-2, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([*((i, " ".join(x)) for i, x in enumerate(items)), (99, ""), (98, None)], "item_id long, text string")
+    for most in (10**6, 40):
+        monkeypatch.setattr(decontamination.item_blocks, "__defaults__", (most,))
+        got = {r.doc_id: {x.item_id: x.similarity for x in r.x} for r in decontamination.with_leaks(frame, bench, "x").collect()}
+        for i, doc in enumerate(docs):
+            want = {j: s for j, item in enumerate(items) if (s := all_windows(doc, item)) >= 0.8}
+            assert got[i] == pytest.approx(want)
+        assert got[-1] == got[-2] == {}
+
+
+def test_languages(given, odd, nothing):
+    docs = given["documents"].select("doc_id", "text", "lang")
+    model = languages.train(docs)
+    from pyspark.sql import functions as F
+
+    held = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+    rows = languages.identify(held.filter("lang IS NOT NULL"), model).collect()
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows)
+    out = languages.identify(odd.select("doc_id", "text"), model).collect()
+    assert [r.lang_pred for r in out][:2] == ["und", "und"] and all(0 <= r.score <= 1 for r in out)
+    assert languages.train(nothing) is None
+    assert {r.lang_pred for r in languages.identify(odd.select("doc_id", "text"), None).collect()} == {"und"}
+
+
+def test_pipeline(spark, given):
+    out = corpus_pipeline.run(spark, SF).collect()
+    ids = [r.doc_id for r in out]
+    assert len(ids) == len(set(ids)) and 0.5 * given["documents"].count() < len(ids)
+    assert all(r.n_tokens == len(r.ids) for r in out)
