@@ -16,6 +16,8 @@ SQL: dict[str, str] = {}
 #: A key holds at least this share of the rows, or it isn't hot. At most 1 / HOT_SHARE keys can be hot, whatever the
 #: data, so the table of hot keys may be broadcast.
 HOT_SHARE = 1 / 2000
+#: A table of groups of at most so many rows and bytes (as JSON) is broadcast whole; both are measured first.
+FEW_ROWS, FEW_BYTES = 10_000, 8_000_000
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -74,12 +76,20 @@ def join_by_frequency(
 ) -> DataFrame:
     """``rows`` left-joined with one row per key of ``groups``, which holds the number of rows of each key in ``n``.
 
-    Keys that hold HOT_SHARE of the ``total`` rows or more are few by arithmetic and are broadcast, so that their rows
+    A small table of groups is broadcast, after its size has been measured. Of a larger one, keys that hold HOT_SHARE of
+    the ``total`` rows or more are few by arithmetic and are broadcast, so that their rows
     stay where they are; the others are joined by a shuffle in which no key is hot. There, rows that the broadcast has
     served get a key of their own kind, dealt by ``spread``. A null key meets a null key.
     """
     limit = max(1.0, total * HOT_SHARE)
     values = [c for c in groups.columns if c != group_key]
+    size = groups.agg(
+        F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*groups.columns)))).alias("bytes")
+    ).first()
+    if size.n <= FEW_ROWS and (size.bytes or 0) <= FEW_BYTES:
+        of = free_name(rows, "_group")
+        small = groups.select(F.col(group_key).alias(of), *values)
+        return rows.join(F.broadcast(small), key.eqNullSafe(F.col(of)), "left").drop(of)
     hot_key, cold_key, served, found, mine = (
         free_name(rows, x) for x in ("_hot_key", "_cold_key", "_served", "_found", "_mine")
     )

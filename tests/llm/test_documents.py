@@ -88,6 +88,22 @@ def test_shrinking(spark):
     assert got["h1", "p"] > 0.8 and got["h0", "p"] < 0.2
 
 
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_join_by_frequency(spark, few, monkeypatch):
+    """Broadcast whole or in part: the same rows, null keys and keys without a group included."""
+    from pyspark.sql import functions as F
+
+    from adsettle.llm import base
+
+    monkeypatch.setattr(base, "FEW_ROWS", few)
+    monkeypatch.setattr(base, "HOT_SHARE", 0.1)
+    keys = [None] * 40 + [0] * 300 + list(range(1, 50)) + [99]
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i long, k long")
+    groups = spark.createDataFrame([(k, keys.count(k), f"g{k}") for k in [None, *range(50)]], "k long, n long, v string")
+    out = base.join_by_frequency(rows, groups.withColumnRenamed("k", "gk"), F.col("k"), "gk", "n", len(keys), F.col("i"))
+    assert sorted((r.i, r.k, r.v) for r in out.collect()) == [(i, k, None if k == 99 else f"g{k}") for i, k in enumerate(keys)]
+
+
 def test_licenses(given, odd, nothing):
     def plain(text: str) -> tuple:
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}))
