@@ -6,8 +6,10 @@ Reading groups continuation records by that identifier, orders them by number, v
 the chunked framing of the HTTP payload. Records in one piece take no part in the grouping and are not shuffled.
 
 Archives are plain text files of Spark's own writer: each row is a record, and the two line ends behind it are the
-writer's line separator. They are read by Spark's own reader, which splits files at "two line ends and a version line".
-The writer sees to it that no block holds that sequence: a chunk ends within each version of a payload. In foreign
+writer's line separator. They are read by Spark's own reader, which splits files at version lines. (A separator that
+began with line ends would follow other line ends, and the reader misses such a one where its buffer ends between them;
+the version's first letter stands nowhere else in it.) The writer sees to it that neither a block nor a header holds a
+version: a chunk ends within each version of a payload. In foreign
 archives a block that does hold it shows as a record whose length is wrong.
 
 Equal payloads of at least LEAST_BYTES bytes are written once, as the response with the largest page_id; the others
@@ -22,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsettle.llm.base import query, table
-from adsettle.session import staging_path
+from adsettle.llm.base import FEW_ROWS, query, table
+from adsettle.session import stage, staging_path
 
 SEGMENT = 256 * 1024
 CHUNK = 32 * 1024
@@ -91,8 +93,8 @@ def header(fields: Iterable[tuple[str, object]]) -> bytes:
 
 
 def line(value: object) -> str:
-    """A header value: one line."""
-    return " ".join(str(value).split())
+    """A header value: one line without a version."""
+    return " ".join(str(value).split()).replace("WARC/", "WARC%2F")
 
 
 def records(row: dict, most: int = SEGMENT) -> Iterator[bytes]:
@@ -129,7 +131,8 @@ def decided(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     at least ``least`` bytes that don't have the largest page_id; rows that share it are all responses, and so is a
     row that has no page_id if no equal one has.
 
-    Only digests that occur twice or more are joined back, so that pages without copies meet a small table.
+    Only digests that occur twice or more are joined back. They are counted first: a small table of them is broadcast,
+    so that the pages stay where they are.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -143,6 +146,9 @@ def decided(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
         .filter("n > 1")
         .select("digest", "first")
     )
+    copies = stage(copies, "copies")
+    if copies.count() <= FEW_ROWS:  # rows of 40 characters and a number
+        copies = F.broadcast(copies)
     other = (F.col("payload_bytes") >= least) & (F.coalesce(F.col("page_id") != F.col("first"), F.col("first").isNotNull()))
     return rows.join(copies, "digest", "left").select(
         "page_id", "url", "payload", "payload_bytes", "digest", F.when(other, F.col("first")).alias("refers_to")
@@ -185,8 +191,6 @@ RECORD = ", ".join(f"{f} {'long' if f in NUMBERS else 'string'}" for f in FIELDS
 def parsed(value: bytes) -> dict | None:
     """A record's known fields and block; None for what is no record. Behind the block, line ends may follow; a block
     that is shorter than its length says is given as it is."""
-    if value.startswith(VERSION.encode()):  # the first of a file still has its version line
-        value = value[len(VERSION) :]
     head, found, rest = value.partition(ENDS.encode())
     if not found:
         return None
@@ -204,7 +208,7 @@ def parsed(value: bytes) -> dict | None:
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """All records of the archives below ``path``, a row each, segments apart. Large files are split."""
-    lines = spark.read.option("lineSep", ENDS + VERSION).text(path).select(F.col("value").cast("binary"))
+    lines = spark.read.option("lineSep", VERSION).text(path).select(F.col("value").cast("binary"))
     schema = pa.schema(
         [*((f, pa.int64() if f in NUMBERS else pa.string()) for f in FIELDS.values()), ("block", pa.binary())]
     )

@@ -61,7 +61,7 @@ def test_odd_rows_and_small_segments(spark):
     rows = [
         (1, "http://a/", long, "t"), (2, "http://a/\r\nX: y", long, "t"), (2, "http://a/\r\nX: y", long, "t"),
         (None, None, long, "t"), (3, "http://b/", None, "t"), (4, "http://b/", "", "t"), (5, None, trap * 40, "t"),
-        (6, "u", "é ü 日本 " * 2000, "t"), (7, "u", W.VERSION * 400, "t"), (8, "u", "short", "t"), (9, "u", "short", "t"),
+        (6, "u", "é ü 日本 " * 2000, "t"), (7, "http://c/WARC/1.1", W.VERSION * 400, "t"), (8, "u", "short", "t"), (9, "u", "short", "t"),
         (None, "u", "z" * 2000, "t"), (None, "u", "z" * 2000, "t"),
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, type string").repartition(3)
@@ -84,6 +84,14 @@ def test_split_files(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_line_ends_at_buffer_ends(spark):
+    """Records end in line ends before the separator; wherever the reader's buffer ends, none is missed."""
+    rows = [(i, "http://a/", "y" * (61_000 + i)) for i in range(4500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    out = W.archive(pages, most=10**6)
+    assert out.count() == len(rows) and out.filter("NOT sound").isEmpty()
+
+
 def test_missing_segment(spark, tmp_path):
     """A record that lacks a segment, or holds less than it says, isn't sound."""
     row = {"payload": b"y" * 500, "refers_to": None, "uuid": "1", "url": "u", "date": "d", "digest": hashlib.sha1(b"y" * 500).hexdigest(), "payload_bytes": 500, "page_id": 1}
