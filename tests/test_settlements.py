@@ -197,8 +197,8 @@ def test_month_guangdiantong(spark, account):
     by_name = {n: float(powers[h]) for n, h in monthly.GUANGDIANTONG_MONEY.items()}
     row = {"账户ID": "1", "服务商简称": "prov", "账户名称": "n", "k框": None, "广告主集团": "g", "总消耗": "3", **powers}
     raw = table(spark, row.keys(), [row.values()])
-    plus = by_name["cash"] + by_name["credit"] + by_name["gift"]
-    nine = sum(by_name.values()) - plus - by_name["compensation"] - by_name["mutual_ad"]
+    plus = by_name["现金消耗（元）"] + by_name["信用金消耗（元）"] + by_name["赠送金消耗（元）"]
+    nine = sum(by_name.values()) - plus - by_name["补偿虚拟金消耗"] - by_name["互选广告消耗"]
     out = monthly.guangdiantong(raw, account).first()
     assert out["结算消耗"] == plus - nine and out["总消耗"] == 3.0 and out["k框"] is None
     large = monthly.guangdiantong_large(raw, account).first()
