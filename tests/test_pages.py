@@ -61,6 +61,15 @@ def test_page_files(spark, tmp_path):
         assert ids == list(range(1049 - 100 * (page - 1), max(949 - 100 * (page - 1), -1), -1))
 
 
+def test_fewer_tasks_than_pages_write_the_same_pages(spark, tmp_path):
+    df = spark.range(1050).repartition(5)
+    path = str(tmp_path / "out")
+    assert write_pages(df, path, 100, [F.desc("id")], most_tasks=3) == 1050
+    pages = spark.read.parquet(path).groupBy("page").agg(F.max("id"), F.count("id")).collect()
+    wanted = {(p + 1, 1049 - 100 * p, 100 if p < 10 else 50) for p in range(11)}
+    assert {tuple(r) for r in pages} == wanted
+
+
 def test_results_and_tables(spark, tmp_path):
     df = spark.createDataFrame([("1", "a,b"), ("2", None)], "`账户ID` string, n string")
     for kind in ("csv", "parquet"):
