@@ -195,17 +195,27 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     raise RuntimeError(f"components aren't settled after {most_rounds} rounds")
 
 
-def groups(prints: DataFrame) -> DataFrame:
-    """Of (doc_id, fp) rows, one row per distinct fingerprint: fp, n (rows) and component_id."""
-    fps = stage(
+def distinct_prints(prints: DataFrame) -> DataFrame:
+    """Of (doc_id, fp) rows, one row per distinct fingerprint: fp, n (rows) and the smallest doc_id."""
+    return stage(
         prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")), "fingerprints"
     )
+
+
+def groups(prints: DataFrame) -> DataFrame:
+    """Of (doc_id, fp) rows, one row per distinct fingerprint: fp, n (rows) and component_id."""
+    fps = distinct_prints(prints)
     crowded = entries(fps).groupBy("segment", "half").count().filter(F.col("count") > CROWD)
     crowded = stage(crowded.select("segment", "half"), "crowded")
     links = pair_links(fps, crowded)
     if not crowded.isEmpty():
         asked = requests(entries(fps)).join(crowded, ["segment", "half"], "left_semi")
         links = links.union(point_links(asked.select("fp").distinct()))
+    return named_groups(fps, links)
+
+
+def named_groups(fps: DataFrame, links: DataFrame) -> DataFrame:
+    """fp, n and component_id of the distinct fingerprints, given links (a, b) among them."""
     roots = components(links)
     rooted = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     linked = fps.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
@@ -220,18 +230,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     group's id, which is null only if nobody in the group has one. Repeated rows are in one group.
     """
     prints = stage(fingerprints(docs.select("doc_id", "text")).drop("text"), "prints")
-    found = stage(groups(prints), "groups")
+    return with_groups(prints, groups(prints))
+
+
+def with_groups(prints: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``prints`` with the component_id of each row's fingerprint."""
+    found = stage(grouped, "groups")
     renamed = found.withColumnRenamed("fp", "group_fp")
     total = prints.count()
     return join_by_frequency(prints, renamed, F.col("fp"), "group_fp", "n", total, F.col("doc_id")).drop("n")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """``docs`` without copies: of each group the row with the smallest doc_id stays, once if it is repeated. Rows
-    without doc_id stay, as nothing tells them apart. Columns are those of ``docs``."""
+    without doc_id stay, as nothing tells them apart. Columns are those of ``docs``. ``found``: the rows' doc_id and
+    component_id, if they aren't to be those of near_duplicates."""
     name, n = free_name(docs, "_doc_id"), free_name(docs, "_rows")
     stays = (
-        near_duplicates(docs)
+        (near_duplicates(docs) if found is None else found)
         .filter("doc_id = component_id")
         .groupBy(F.col("doc_id").alias(name))
         .agg(F.count("*").alias(n))
