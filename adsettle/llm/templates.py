@@ -6,12 +6,13 @@ form an equivalence class. A vector isn't kept but summed up: the pages that hol
 sum over pages of a hash of (page, occurrences). Equal vectors have equal sums, and sums of partial sums come from any
 split of the pages, so a host with very many pages is no hot group.
 
-A class is valid if its tokens stand in at least SUPPORT of the host's pages. Element classes nest by their paths: the
-root class holds the elements that stand once in every page, classes of repeated elements stand in its slots. Texts of
-valid classes that stand in every page are part of the template. What is left are the slots. A slot is boilerplate if
-its path passes through an element that is made for it (navigation, footers, forms and the like, or such a class name),
-or if most of its text stands in links; if the template has an article or main element, other slots are boilerplate
-too. The text of the remaining slots, block by block, is the page's main text.
+A class is valid if its tokens stand in at least SUPPORT of the host's pages; pages without any token, as empty ones,
+don't count, so an odd page among others takes nothing away. Valid classes nest by their paths: elements that stand once
+in a page (in SUPPORT of all pages) are frames, and classes of repeated elements stand in the slots of these. Texts of
+valid classes are part of the template. What is left is the slots' text. A slot is boilerplate if its path passes through
+an element that is made for it (navigation, footers, forms and the like, or such a class name), or if most of the text
+stands in links, either in its frame or in the repeated class alone; if the page has an article or main element, other
+slots are boilerplate too. The text of the remaining slots, block by block, is the page's main text.
 
 On a host with fewer than LEAST_PAGES pages nothing can be deduced from copies of texts; there the paths alone decide.
 """
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator
 from dataclasses import dataclass
 from html import unescape
 
@@ -33,6 +34,8 @@ from adsettle.llm.base import bytes_of, join_by_frequency, query, table, with_te
 from adsettle.session import stage
 
 LEAST_PAGES = 4
+#: Share of a host's pages that the tokens of a valid class stand in.
+SUPPORT = 0.75
 #: Share of a slot's characters in links from which it is a menu.
 LINKED = 0.6
 
@@ -196,9 +199,10 @@ def token_of(path: str, text: str | None = None) -> int:
 
 
 def token_vectors(pages: DataFrame) -> DataFrame:
-    """(host, token, n_pages, total, vector) per host and token, summed in each task before the shuffle.
+    """(host, token, n_pages, total, once, vector) per host and token, summed in each task before the shuffle. ``once``
+    counts the pages where the token stands a single time.
 
-    Token 0 stands for the page itself; its n_pages are the host's pages.
+    Token 0 stands for the page itself; its n_pages are the host's pages that have tokens, its total is all of them.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,82 +214,114 @@ def token_vectors(pages: DataFrame) -> DataFrame:
                 slots, elements = blocks((html or b"").decode())
                 counts = Counter({token_of(path): n for path, n in elements.items()})
                 counts.update(token_of(s.path, s.text) for s in slots)
-                counts[0] = 1
+                own = sums.setdefault((host, 0), [0, 0, 0, 0])
+                own[0] += bool(counts)
+                own[1] += 1
+                weights: dict[int, int] = {}
                 for token, n in counts.items():
-                    own = sums.setdefault((host, token), [0, 0, 0])
+                    if n not in weights:
+                        weights[n] = xxhash.xxh64_intdigest(f"{page}:{n}") >> 16
+                    own = sums.setdefault((host, token), [0, 0, 0, 0])
                     own[0] += 1
                     own[1] += n
-                    own[2] += xxhash.xxh64_intdigest(f"{page}:{n}") >> 16
+                    own[2] += n == 1
+                    own[3] += weights[n]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([h for h, _ in sums], pa.string()),
                     pa.array([t for _, t in sums], pa.int64()),
-                    *[pa.array([signed(v[i] & (1 << 64) - 1) for v in sums.values()], pa.int64()) for i in range(3)],
+                    *[pa.array([signed(v[i] & (1 << 64) - 1) for v in sums.values()], pa.int64()) for i in range(4)],
                 ],
-                names=["host", "token", "n_pages", "total", "vector"],
+                names=["host", "token", "n_pages", "total", "once", "vector"],
             )
 
     found = pages.select("host", "page", "html").mapInArrow(
-        run, "host string, token long, n_pages long, total long, vector long"
+        run, "host string, token long, n_pages long, total long, once long, vector long"
     )
     # sums of 48-bit numbers stay within a decimal of 38 digits whatever the number of pages
     return found.groupBy("host", "token").agg(
-        F.sum("n_pages").alias("n_pages"), F.sum("total").alias("total"),
+        F.sum("n_pages").alias("n_pages"), F.sum("total").alias("total"), F.sum("once").alias("once"),
         F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"),
     )
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """host, n (pages) and root: the tokens that share the page's own vector, each standing once in every page.
+    """host, n (rows), n_pages (pages with tokens), and the tokens of its valid classes: frames, whose tokens stand once
+    in a page, and repeated ones.
 
-    Classes are groups of equal (n_pages, total, vector). The root class is that of the page token: the elements and
-    texts that stand exactly once in every page. It can't have more tokens than the host's shortest page.
+    Classes are groups of equal (n_pages, total, vector) in at least SUPPORT of the pages, so a host can't have more of
+    their tokens than its pages have on average, divided by SUPPORT.
     """
-    vectors = token_vectors(pages)
+    least = SUPPORT * LEAST_PAGES  # what stands in fewer pages is valid on no host
     own = F.col("token") == 0
-    page = vectors.filter(own).select(
-        F.col("host").alias("of"), F.col("n_pages").alias("n"), F.col("vector").alias("page_vector")
+    vectors = stage(token_vectors(pages).filter(own | (F.col("n_pages") >= least)), "vectors")
+    hosts = vectors.groupBy(F.col("host").alias("of")).agg(
+        F.count("*").alias("n_tokens"),
+        F.max(F.when(own, F.col("total"))).alias("n"),
+        F.max(F.when(own, F.col("n_pages"))).alias("of_pages"),
     )
-    same = (
-        (F.col("host") == F.col("of"))
-        & (F.col("n_pages") == F.col("n"))
-        & (F.col("total") == F.col("n"))
-        & (F.col("vector") == F.col("page_vector"))
+    hosts = stage(hosts, "hosts")
+    tokens = vectors.filter(~own)
+    of = hosts.select("of", "n_tokens", "of_pages")
+    both = join_by_frequency(tokens, of, F.col("host"), "of", "n_tokens", vectors.count(), F.col("token"))
+    share = SUPPORT * F.col("of_pages")
+    classes = (
+        both.filter((F.col("of_pages") >= LEAST_PAGES) & (F.col("n_pages") >= share))
+        .groupBy("host", "n_pages", "total", "vector")
+        .agg((F.min("once") >= F.first(share)).alias("frame"), F.collect_list("token").alias("tokens"))
     )
-    root = vectors.filter(~own).join(page, same).groupBy("host").agg(F.collect_list("token").alias("root"))
-    return page.select(F.col("of").alias("host"), "n").join(root, "host", "left")
+    none = F.array().cast("array<long>")
+    of_kind = lambda kind: F.flatten(F.collect_list(F.when(kind, F.col("tokens")).otherwise(none)))
+    valid = classes.groupBy("host").agg(
+        of_kind(F.col("frame")).alias("frames"), of_kind(~F.col("frame")).alias("repeated")
+    )
+    named = hosts.select(F.col("of").alias("host"), "n", F.col("of_pages").alias("n_pages"))
+    return named.join(valid, "host", "left")
 
 
-def frame_of(path: str, root: frozenset[int]) -> str:
-    """The slot of the template that a path lies in: its longest part that ends at an element of the root class."""
+def frame_of(path: str, tokens: frozenset[int]) -> str:
+    """The slot of the template that a path lies in: its longest part that ends at an element of the tokens."""
     part = path
-    while part and token_of(part) not in root:
+    while part and token_of(part) not in tokens:
         part = part.rpartition("/")[0]
     return part
 
 
-def main_text(html: str, n_pages: int | None, root: frozenset[int]) -> str:
-    """The text of the page's content slots. ``root``: the host's tokens that stand once in every page.
+def main_text(
+    html: str, n_pages: int | None, frames: frozenset[int], repeated: frozenset[int] = frozenset()
+) -> str:
+    """The text of the page's content slots. ``frames``, ``repeated``: the tokens of the host's valid classes.
 
-    Classes of repeated elements nest in the slot of the root class that their paths lead through, so links and texts
-    are weighed slot by slot. Texts of the root class are the template's own, except in an article, which may quote or
-    be a copy; where nothing else is left, they stay.
+    Texts of the classes are the template's own; where nothing else is left, as on copies, they stay. Links are weighed
+    frame by frame and, in a frame, by class of repeated elements.
     """
     slots, _ = blocks(html)
-    deduced = (n_pages or 0) >= LEAST_PAGES
     left = [s for s in slots if not s.bad]
     if any(s.content for s in left):
         return "\n\n".join(s.text for s in left if s.content)
-    frames = [frame_of(s.path, root) if deduced else s.path for s in left]
+    if (n_pages or 0) < LEAST_PAGES:
+        places = {s.path: (s.path,) for s in left}
+    else:
+        every = frames | repeated
+        places = {path: {frame_of(path, frames), frame_of(path, every)} for path in {s.path for s in left}}
+    own = [s for s in left if (token := token_of(s.path, s.text)) not in frames and token not in repeated]
+    kept = without_menus(own, places) or without_menus(left, places)
+    return "\n\n".join(s.text for s in kept)
+
+
+def without_menus(slots: list[Slot], places: dict[str, Collection[str]]) -> list[Slot]:
+    """The blocks that lie in no place whose text stands mostly in links."""
     linked: Counter = Counter()
     length: Counter = Counter()
-    for s, frame in zip(left, frames):
-        linked[frame] += s.linked
-        length[frame] += len(s.text)
-    kept = [s for s, frame in zip(left, frames) if linked[frame] < LINKED * length[frame]]
-    if deduced:
-        kept = [s for s in kept if token_of(s.path, s.text) not in root] or kept
-    return "\n\n".join(s.text for s in kept)
+    for s in slots:
+        for place in places[s.path]:
+            linked[place] += s.linked
+            length[place] += len(s.text)
+
+    def menu(s: Slot) -> bool:
+        return any(linked[place] >= LINKED * length[place] for place in places[s.path])
+
+    return [s for s in slots if not menu(s)]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -304,17 +340,17 @@ def extract(pages: DataFrame) -> DataFrame:
     names = ["page_id", "url"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[int]] = {}
+        known: dict[str, tuple[frozenset[int], frozenset[int]]] = {}
         for batch in batches:
-            hosts, sizes, roots = (batch.column(c) for c in ("host", "n", "root"))
+            hosts, sizes, *kinds = (batch.column(c) for c in ("host", "n_pages", "frames", "repeated"))
             texts = []
             for i, html in enumerate(bytes_of(batch.column("html"))):
                 host = hosts[i].as_py()
                 if host not in known:
                     if len(known) > 10_000:
                         known.clear()
-                    known[host] = frozenset(roots[i].as_py() or ())
-                texts.append(main_text(html.decode(), sizes[i].as_py(), known[host]) if html else "")
+                    known[host] = tuple(frozenset(k[i].as_py() or ()) for k in kinds)
+                texts.append(main_text(html.decode(), sizes[i].as_py(), *known[host]) if html else "")
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in names], pa.array(texts, pa.string())], names=[*names, "text"]
             )

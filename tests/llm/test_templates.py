@@ -78,6 +78,19 @@ def test_copies_keep_their_text(spark):
     assert {r.text for r in T.extract(pages).collect()} == {"Same text"}
 
 
+def test_odd_pages_leave_the_template(spark):
+    """Empty, null and differently built pages of a host take nothing from its template; lists of links nest."""
+    links = "<ul>" + "<li><a href=/r>Read on at {0}</a></li>" * 3 + "</ul></div></body>"
+    rows = [(i, f"https://odd.example/{i}", page(i).replace("</div></body>", links.format(i))) for i in range(12)]
+    rows += [(20, "https://odd.example/e", ""), (21, "https://odd.example/n", None)] * 3
+    rows += [(22, "https://odd.example/f", "<p>Error 500</p>"), (23, "https://odd.example/g", page(23).replace("</body>", "<div class=box>x</div></body>"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in T.extract(pages).collect()}
+    for i in range(12):
+        assert got[i].split("\n\n") == [f"Story {i}", *[f"Line {i} {j}" for j in range(i % 3 + 1)]]
+    assert got[20] == got[21] == "" and got[22] == "Error 500" and "Always here" not in got[23]
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert T.extract(pages).collect() == []
