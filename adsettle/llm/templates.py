@@ -11,10 +11,12 @@ don't count, so an odd page among others takes nothing away. Valid classes nest
 in a page (in SUPPORT of all pages) are frames, and classes of repeated elements stand in the slots of these. Texts of
 valid classes are part of the template. What is left is the slots' text. A slot is boilerplate if its path passes through
 an element that is made for it (navigation, footers, forms and the like, or such a class name), or if most of the text
-stands in links, either in its frame or in the repeated class alone; if the page has an article or main element, other
-slots are boilerplate too. The text of the remaining slots, block by block, is the page's main text.
+stands in links, either in its frame or in the repeated class alone. That it lies in an article or main element is one feature
+more: there, nearly all text has to stand in links. The text of the remaining slots, block by block, is the page's main
+text.
 
-On a host with fewer than LEAST_PAGES pages nothing can be deduced from copies of texts; there the paths alone decide.
+On a host with fewer than LEAST_PAGES pages nothing can be deduced from copies of texts; there the paths alone decide, and only the
+text in article and main elements is taken if the page has any.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ from adsettle.session import stage
 LEAST_PAGES = 4
 #: Share of a host's pages that the tokens of a valid class stand in.
 SUPPORT = 0.75
-#: Share of a slot's characters in links from which it is a menu.
-LINKED = 0.6
+#: Share of a slot's characters in links from which it is a menu, outside and inside of article and main elements.
+LINKED, LINKED_CONTENT = 0.6, 0.9
 
 # Elements by what they do.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -297,9 +299,9 @@ def main_text(
     """
     slots, _ = blocks(html)
     left = [s for s in slots if not s.bad]
-    if any(s.content for s in left):
-        return "\n\n".join(s.text for s in left if s.content)
     if (n_pages or 0) < LEAST_PAGES:
+        if any(s.content for s in left):
+            return "\n\n".join(s.text for s in left if s.content)
         places = {s.path: (s.path,) for s in left}
     else:
         every = frames | repeated
@@ -319,7 +321,8 @@ def without_menus(slots: list[Slot], places: dict[str, Collection[str]]) -> list
             length[place] += len(s.text)
 
     def menu(s: Slot) -> bool:
-        return any(linked[place] >= LINKED * length[place] for place in places[s.path])
+        most = LINKED_CONTENT if s.content else LINKED
+        return any(linked[place] >= most * length[place] for place in places[s.path])
 
     return [s for s in slots if not menu(s)]
 

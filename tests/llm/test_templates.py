@@ -78,6 +78,18 @@ def test_copies_keep_their_text(spark):
     assert {r.text for r in T.extract(pages).collect()} == {"Same text"}
 
 
+def test_template_chooses_slots_beside_articles(spark):
+    """A teaser article doesn't hide the text outside, and template text inside of it goes."""
+    rows = [
+        (i, f"https://teaser.example/{i}", page(i).replace("<div class=text>", f"<article><p>Share this</p><p><a href=/t{i}>Read {i}</a></p></article><div class=text>"))
+        for i in range(8)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in T.extract(pages).collect():
+        i = r.page_id
+        assert r.text.split("\n\n") == [f"Story {i}", *[f"Line {i} {j}" for j in range(i % 3 + 1)]]
+
+
 def test_odd_pages_leave_the_template(spark):
     """Empty, null and differently built pages of a host take nothing from its template; lists of links nest."""
     links = "<ul>" + "<li><a href=/r>Read on at {0}</a></li>" * 3 + "</ul></div></body>"
