@@ -40,9 +40,10 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][ -])(?=[0-9](?:[ -]?[0-9]){13})[0-9][0-9 -]*?(?<=[0-9])(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 
-HANDLE = r"(?<![^\s@])[^\s@]{1,64}@[^\s@]{3,64}"
+# Whole runs, whatever their length.
+HANDLE = r"(?<![^\s@])[^\s@]++@[^\s@]{3,}+"
 NUMBER = r"(?<![0-9.,+])[+(]?[0-9][0-9 ().-]{5,30}[0-9](?![0-9])"
-SECRET = r"(?<![A-Za-z0-9_])(?=[A-Za-z_]{0,40}[0-9])[A-Za-z0-9_]{16,200}+"
+SECRET = r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{16,}+"
 
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
@@ -120,6 +121,9 @@ RULES: dict[str, Callable[[Column], Column]] = {
     "phone": lambda v: F.length(digits_of(v)).between(10, 15),
 }
 
+#: What a generator's match has to be as well; others need nothing.
+PROPOSED: dict[str, Callable[[Column], Column]] = {"secret": lambda v: F.regexp_like(v, F.lit("[0-9]"))}
+
 #: Features of a candidate, all small integers. Their values multiply to fewer than 200,000.
 FEATURES = ["rank", "digits", "size", "marks", "left", "right", "letters", "context"]
 
@@ -187,7 +191,8 @@ def with_candidates(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Col
     kept = [F.filter(raw[k], (lambda rule: lambda s: rule(s["value"]))(RULES[k])) for k in BASE]
     made = made.withColumn(names.base, F.array_sort(F.concat(*kept)))
 
-    proposed = F.array_sort(F.concat(*[F.col(raw[k]) for k in GENERATORS]))
+    fitting = {k: F.filter(raw[k], (lambda rule: lambda s: rule(s["value"]))(rule)) for k, rule in PROPOSED.items()}
+    proposed = F.array_sort(F.concat(*[fitting.get(k, F.col(raw[k])) for k in GENERATORS]))
     made = made.withColumn(names.candidates, F.transform(proposed, described))
     return made.drop(*raw.values()), names
 

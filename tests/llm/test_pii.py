@@ -98,6 +98,21 @@ def test_method_adds_keys(spark):
     assert all(found[i][1] == "" for i in range(60, 120))
 
 
+def test_whole_runs(spark):
+    """Keys and handles end where their run ends, however long, and wherever the first digit is."""
+    draw = random.Random(4)
+    key = lambda n: "".join(draw.choice("0123456789abcdef") for _ in range(n))
+    late = "abcdefghij" * 5 + key(20) + "7"
+    keys = [*(key(40) for _ in range(60)), *(key(300) for _ in range(30)), *[late] * 30]
+    docs = spark.createDataFrame([(i, f"token = {k} end") for i, k in enumerate(keys)], "doc_id long, text string")
+    assert {r.text for r in P.redact(docs).collect()} == {"token = [SECRET] end"}
+    handles = ["a" * 100 + "@host", "joe@" + "b" * 100, "c" * 60_000 + "@" + "d" * 60_000]
+    texts = [*(f"x {h} y" for h in handles), "a@b" * 20_000, "k" * 60_000, "_ab " * 20_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, text string").repartition(6)
+    made = frame.select("i", P.matched(F.col("text"), P.HANDLE, "handle")["value"].alias("v")).collect()
+    assert {r.i: r.v for r in made if r.i < 3} == {i: [h] for i, h in enumerate(handles)}
+
+
 def test_redact(spark):
     text = "é mail a.b@c.de or call +1 (743) 555-3824, card 4111 1111 1111 1111!"
     rows = [(1, text, len(text), "x"), (2, None, 5, "x"), (3, "", 0, "x"), (4, "clean", 99, "x"), (4, "clean", 99, "x")]
