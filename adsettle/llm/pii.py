@@ -4,8 +4,10 @@ Base rules find e-mail addresses, IP addresses, card and phone numbers; what the
 high recall propose further spans, which may overlap: addresses of any form, digit groups, key-like strings. Trees
 boosted on format and context features score these; those that reach their generator's threshold are taken too.
 
-The trees learn from the corpus itself: a digit group or address that a base rule takes is a positive example, and so is
-a key-like string behind words like "token ="; all others are negative. Features are small integers, so all candidates
+The trees learn from the corpus itself: a key-like string is a positive example behind words like "token =", a digit
+group or address behind words like "phone" or "account", unless words for ids or prices follow these or it is a date; all
+others are negative. What a base rule has takes no part. For digit groups and addresses the words aren't a feature: the
+trees tell which formats stand behind them, to find these elsewhere too, and the examples themselves are taken. Features are small integers, so all candidates
 of the corpus are counted by feature values in one grouped aggregation, and boosting on these counts is boosting on
 every candidate. A threshold is the least score from which candidates are positive with probability PRECISION.
 
@@ -53,6 +55,13 @@ RANK = {kind: i for i, kind in enumerate([*BASE, *GENERATORS])}
 
 KEYWORD = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key|bearer)[\"' ]{0,2}[=: ]{1,3}[\"']?$"
 PERSONAL = r"(?i)(?:phone|tel|call|fax|mobile|card|visa|account|iban|mail|contact|ssn|passport)[^\n]{0,12}$"
+# A word of its own for whom or whose account a number is, and what tells ids, prices and dates from these.
+OWNER = (
+    r"(?i)(?<![a-z])(?:(?:tele|cell)?phone|tel|call|fax|mobile|card|visa|account|iban|e?mail|contact|ssn|passport)(?![a-z])"
+    r"[^\n]{0,12}$"
+)
+OTHER = r"(?i)(?:(?<![a-z])(?:id|order|invoice|ticket|item|sku|isbn|version|price|cost|total|amount|usd|eur)(?![a-z])|[$€£])[^\n]{0,12}$"
+DATE = r"^(?:[0-9]{4}[ .-][0-9]{1,2}[ .-][0-9]{1,2}|[0-9]{1,2}[ .-][0-9]{1,2}[ .-][0-9]{4})(?![0-9])"
 CONTEXT = 24
 
 
@@ -157,7 +166,12 @@ def described(span: Column) -> Column:
         .otherwise(3)
     )
     keyed = F.regexp_like(span["before"], F.lit(KEYWORD))
+    secret = span["kind"] == "secret"
     context = F.when(keyed, 1).when(F.regexp_like(span["before"], F.lit(PERSONAL)), 2).otherwise(0)
+    owned = (
+        F.regexp_like(span["before"], F.lit(OWNER)) & ~F.regexp_like(span["before"], F.lit(OTHER))
+        & ~F.regexp_like(value, F.lit(DATE))
+    )
     base = base_like(span)
     return F.struct(
         span["start"].alias("start"), span["rank"].alias("rank"), span["end"].alias("end"), span["kind"].alias("kind"),
@@ -167,9 +181,9 @@ def described(span: Column) -> Column:
         char_class(F.right(span["before"], F.lit(1))).alias("left"),
         char_class(span["after"]).alias("right"),
         letters.alias("letters"),
-        context.alias("context"),
+        F.when(secret, context).otherwise(0).alias("context"),
         base.alias("base"),
-        F.when(span["kind"] == "secret", keyed).otherwise(base).alias("positive"),
+        F.when(secret, keyed).otherwise(owned & ~base).alias("positive"),
     )
 
 
@@ -293,10 +307,10 @@ def boost(x: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> Model:
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
-    """Boosted on every candidate of the corpus, by counts per cell of features."""
+    """Boosted on every candidate of the corpus that no base rule has, by counts per cell of features."""
     made, names = with_candidates(docs.select(F.col(f"`{text}`").alias("text")))
     cells = (
-        made.select(F.explode(names.candidates).alias("c"))
+        made.select(F.explode(F.filter(names.candidates, lambda c: ~c["base"])).alias("c"))
         .groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES])
         .agg(F.count_if("c.positive").alias("positive"), F.count("*").alias("n"))
         .orderBy(*FEATURES)
@@ -309,11 +323,13 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
 
 def find(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, str, str]:
     """``docs`` with base spans and with all spans, and the names of these columns. Spans are structs of start, rank,
-    end and kind, by start and then kind. Candidates that a base rule has are left out."""
+    end and kind, by start and then kind. Of the candidates, those that a base rule has are left out, digit groups and
+    addresses behind a personal word are taken, and so is what the model accepts."""
     made, names = with_candidates(docs, text)
     short = lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])
     base = F.transform(names.base, short)
-    taken = F.filter(names.candidates, lambda c: ~c["base"] & model.accepts(c))
+    example = lambda c: (c["kind"] != "secret") & c["positive"]
+    taken = F.filter(names.candidates, lambda c: ~c["base"] & (example(c) | model.accepts(c)))
     every = free_name(made, "_spans")
     made = made.withColumn(every, F.array_sort(F.concat(base, F.transform(taken, short))))
     return made.withColumn(names.base, base).drop(names.candidates), names.base, every

@@ -113,6 +113,24 @@ def test_whole_runs(spark):
     assert {r.i: r.v for r in made if r.i < 3} == {i: [h] for i, h in enumerate(handles)}
 
 
+def test_method_adds_numbers_and_handles(spark):
+    """National phone numbers, spaced account numbers and bare handles are found among many base spans, formats that
+    stand behind personal words elsewhere too; ids, prices and dates aren't."""
+    draw = random.Random(6)
+    n = lambda k: "".join(draw.choice("123456789") for _ in range(k))
+    some = [f"phone: (0{n(3)}) {n(6)} now" for _ in range(60)] + [f"account {n(4)} {n(4)} {n(2)} now" for _ in range(60)]
+    some += [f"contact: joe{n(2)}@localhost now" for _ in range(30)] + [f"then (0{n(3)}) {n(6)} rang"]
+    none = [f"order id {n(9)} now" for _ in range(60)] + [f"account total $ {n(3)} {n(3)} {n(3)} now" for _ in range(30)]
+    none += [f"call 2024-05-{10 + i} now" for i in range(20)] + [f"hotel {n(9)} now" for _ in range(60)]
+    base = [f"call +1 (743) 555-{n(4)} or a{i}@b.de" for i in range(300)]
+    texts = [*some, *none, *base]
+    found = base_of(spark.createDataFrame(list(enumerate(texts)), "i long, text string"))
+    kinds = {i: [x.split(":")[0] for x in spans.split(",") if x] for i, (_, spans) in found.items()}
+    assert [kinds[i] for i in range(len(some))] == [["number"]] * 120 + [["handle"]] * 30 + [["number"]]
+    assert all(not kinds[i] for i in range(len(some), len(some) + len(none)))
+    assert all(sorted(kinds[i]) == ["email", "phone"] for i in range(len(some) + len(none), len(texts)))
+
+
 def test_redact(spark):
     text = "é mail a.b@c.de or call +1 (743) 555-3824, card 4111 1111 1111 1111!"
     rows = [(1, text, len(text), "x"), (2, None, 5, "x"), (3, "", 0, "x"), (4, "clean", 99, "x"), (4, "clean", 99, "x")]
