@@ -7,7 +7,8 @@ is verified by the weighted Jaccard similarity of word shingles, the weight of a
 
 Windows that can't reach the similarity are not fingerprinted: a window and an item with n shingles each must share
 m = 2 n s / (1 + s) of them (counted with repeats) for similarity s, so fewer than m positions that hold a shingle of
-the item rule a window out. This loses nothing.
+the item rule a window out. This loses nothing. A text shorter than an item is one window as a whole; of n' shingles it
+must share (n + n') s / (1 + s).
 
 Items are processed in blocks of at most BLOCK_WORDS words, each block being one pass over the documents, so that what
 tasks hold of the benchmark is bounded however large it is.
@@ -107,7 +108,7 @@ class Items:
             for code in set(codes):
                 owners[k][code].append(at)
             self.size.append(k)
-            self.needs.append(int(np.ceil(2 * n * self.least / (1 + self.least) - 1e-9)))
+            self.needs.append(self.need(n, n))
             self.shingles.append(Counter(tuple(words[i : i + k]) for i in range(n)))
             print_ = sim_hash(self.bits(words, k))
             self.prints.append(print_)
@@ -118,6 +119,10 @@ class Items:
             self.owners[k] = [by_code[c] for c in sorted(by_code)]
         self.differences = ball(64 // BLOCKS, self.radius // BLOCKS)
 
+    def need(self, n: int, m: int) -> int:
+        """Shingles that n and m have to share for the similarity."""
+        return int(np.ceil((n + m) * self.least / (1 + self.least) - 1e-9))
+
     @staticmethod
     def part(print_: int, block: int) -> int:
         width = 64 // BLOCKS
@@ -141,11 +146,11 @@ class Items:
                 found.update(self.blocks.get((length, block, part ^ d), ()))
         return [i for i in found if (self.prints[i] ^ print_).bit_count() <= self.radius]
 
-    def search(self, text: bytes) -> dict[int, tuple[float, int]]:
-        """Per item place: the greatest similarity of a window that reaches ``least``, and its first word."""
+    def search(self, text: bytes) -> dict[int, tuple[float, int, int]]:
+        """Per item place: the greatest similarity of a window that reaches ``least``, its first word and length."""
         words = words_of(text)
         ids = np.fromiter(map(self.vocabulary.get, words, [0] * len(words)), dtype=np.uint64, count=len(words))
-        best: dict[int, tuple[float, int]] = {}
+        best: dict[int, tuple[float, int, int]] = {}
         for k, codes in self.codes.items():
             runs = rolled(ids, k)
             if not len(runs):
@@ -163,6 +168,10 @@ class Items:
             for item, own in by_item.items():
                 need = self.needs[item]
                 n = len(self.words[item]) - k + 1
+                if len(runs) < n:  # the whole text is the window
+                    if len(own) >= self.need(n, len(runs)):
+                        starts[len(self.words[item])].add(0)
+                    continue
                 for i in range(len(own) - need + 1):
                     # positions that a window must start at to hold this hit and the need - 1 after it
                     low, high = max(own[i + need - 1] - n + 1, 0), min(own[i], len(runs) - n)
@@ -175,10 +184,10 @@ class Items:
                     for item in self.lookup(length, sim_hash(self.bits(window, k))):
                         if self.size[item] != k:
                             continue
-                        shared = Counter(tuple(window[i : i + k]) for i in range(length - k + 1))
+                        shared = Counter(tuple(window[i : i + k]) for i in range(len(window) - k + 1))
                         value = similarity(shared, self.shingles[item])
-                        if value >= self.least and value > best.get(item, (0.0, 0))[0]:
-                            best[item] = (value, start)
+                        if value >= self.least and value > best.get(item, (0.0, 0, 0))[0]:
+                            best[item] = (value, start, len(window))
         return best
 
 
@@ -230,7 +239,7 @@ def searcher(shared, name):
         items, out = built[0], []
         for t in texts:
             best = items.search(t) if t else {}
-            out.append([(items.ids[i], v, start, len(items.words[i])) for i, (v, start) in sorted(best.items())])
+            out.append([(items.ids[i], *found) for i, found in sorted(best.items())])
         return {name: pa.array(out, FOUND_TYPE)}
 
     return rows

@@ -179,6 +179,31 @@ def test_near_windows_and_blocks(spark, monkeypatch):
         assert got[-1] == got[-2] == {}
 
 
+def test_texts_shorter_than_an_item(spark):
+    """A text that is most of an item is found, as by trying the whole text where no window fits."""
+    draw = random.Random(8)
+    items = [[f"w{draw.randrange(300)}" for _ in range(n)] for n in (3, 5, 6, 12, 30, 50, 80)]
+    docs = [[*x[: len(x) - cut][first:]] for x in items for cut in (0, 1, 2, 5, 9) for first in (0, 1, 4)]
+    docs += [[*x[:20], "other", *x[21:-1]] for x in items if len(x) > 21]
+    frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+
+    def best(words, item):
+        if len(words) >= len(item):
+            return all_windows(words, item)
+        k = min(5, len(item))
+        shingles = lambda w: Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+        return decontamination.similarity(shingles(words), shingles(item))
+
+    got = {r.doc_id: r.x for r in decontamination.with_leaks(frame, bench, "x").collect()}
+    for i, doc in enumerate(docs):
+        want = {j: s for j, item in enumerate(items) if (s := best(doc, item)) >= 0.8}
+        assert {x.item_id: x.similarity for x in got[i]} == pytest.approx(want)
+        assert all(x.start + x.n_words <= len(doc) for x in got[i])
+    fifty = [i for i, d in enumerate(docs) if d == items[5][:49]]
+    assert [x.similarity for x in got[fifty[0]]] == pytest.approx([45 / 46])
+
+
 def test_languages(given, odd, nothing):
     docs = given["documents"].select("doc_id", "text", "lang")
     model = languages.train(docs)
