@@ -1,10 +1,12 @@
 """License scans: base phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. It matches a template if it holds at least THRESHOLD of the template's distinct words. Words are
+Blocks are lines, paragraphs (lines between blank ones) and all windows of as many words as the template has, whatever
+line ends they cross, so that a wrapped notice is found. A block matches a template if it holds at least THRESHOLD of the template's distinct words. Words are
 ordered by their frequency in the whole corpus, rarest first. A block that holds at least o of a template's t words
 holds one of the template's first t - o + 1 (prefix filter), has at least o distinct words itself (length filter), and
 the words that both still have behind a first common one must suffice for o (positional filter). What passes is counted
-exactly, so every matching block is found and no other.
+exactly, so every matching block is found and no other. The same filters run over the whole text first: a template that
+the text as one block doesn't match is matched by none of its blocks.
 
 Templates are a fixed, small list and go to every task with the counts of their words; nothing else is broadcast.
 """
@@ -12,8 +14,9 @@ Templates are a fixed, small list and go to every task with the counts of their
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, deque
 from dataclasses import dataclass
+from itertools import groupby
 from math import ceil
 
 import pyarrow as pa
@@ -66,14 +69,16 @@ class Templates:
 
     tokens: list[list[bytes]]
     labels: list[str]
+    sizes: list[int]  # words of each template, repeated ones too
     threshold: float = THRESHOLD
 
     @staticmethod
     def order(templates: list[tuple[str, str]], counts: dict[bytes, int], threshold: float = THRESHOLD) -> Templates:
-        sets = [(label, set(words_of(text.encode()))) for label, text in templates]
+        lists = [words_of(text.encode()) for _, text in templates]
         return Templates(
-            [sorted(s, key=lambda w: (counts.get(w, 0), w)) for _, s in sets], [label for label, _ in sets], threshold
-        )
+            [sorted(set(x), key=lambda w: (counts.get(w, 0), w)) for x in lists], [label for label, _ in templates],
+            [len(x) for x in lists], threshold,
+        )
 
     def __post_init__(self) -> None:
         self.overlap = [ceil(self.threshold * len(t) - 1e-9) for t in self.tokens]
@@ -99,6 +104,24 @@ class Templates:
                 found[i] = shared / len(tokens)
         return found
 
+    def window(self, words: list[bytes], i: int) -> float:
+        """The greatest containment of template i in a window of its size, 0 where none matches."""
+        tokens, most = frozenset(self.tokens[i]), 0
+        inside: deque[int] = deque()  # places of its words in the window
+        held: Counter = Counter()
+        for place, word in enumerate(words):
+            if word not in tokens:
+                continue
+            while inside and inside[0] <= place - self.sizes[i]:
+                old = words[inside.popleft()]
+                held[old] -= 1
+                if not held[old]:
+                    del held[old]
+            inside.append(place)
+            held[word] += 1
+            most = max(most, len(held))
+        return most / len(tokens) if most >= self.overlap[i] else 0.0
+
 
 def phrase_places(joined: bytes, phrase: bytes) -> list[int]:
     """Where the phrase stands in words joined, begun and ended by spaces. Places may overlap."""
@@ -114,10 +137,14 @@ def scan(text: bytes, templates: Templates) -> tuple:
             base.add(label)
             places += own
     labels, score = set(base), 1.0 if base else 0.0
-    if not templates.starts.isdisjoint(words):
-        for line in text.translate(TO_LINES).split(b"\n"):
-            block = set(line.split())
-            for i, containment in templates.matches(block).items():
+    if proposed := templates.matches(set(words)):
+        found = [(i, templates.window(words, i)) for i in proposed]
+        lines = [set(line.split()) for line in text.translate(TO_LINES).split(b"\n")]
+        paragraphs = [set().union(*own) for some, own in groupby(lines, bool) if some]
+        for block in lines + paragraphs:
+            found += templates.matches(block).items()
+        for i, containment in found:
+            if containment:
                 labels.add(templates.labels[i])
                 score = max(score, containment)
     first = joined[: min(places)].count(b" ") if places else None

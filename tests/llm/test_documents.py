@@ -139,6 +139,24 @@ def test_licenses(given, odd, nothing):
     assert licenses.license_scan(nothing).collect() == []
 
 
+def test_wrapped_licenses():
+    """Notices wrapped over lines are matched as on one line; scattered words of several paragraphs aren't."""
+    ordered = licenses.Templates.order(licenses.TEMPLATES, {})
+    draw = random.Random(2)
+    for label, template in licenses.TEMPLATES:
+        words = template.split()
+        for _ in range(8):
+            cut = draw.randrange(1, len(words))
+            for end in ("\n", "\r\n", "\n * ", "\n\n"):
+                text = "Before it\n" + " ".join(words[:cut]) + end + " ".join(words[cut:]) + "\nand after"
+                found = licenses.scan(text.encode(), ordered)
+                assert label in found[5].split(",") and found[6] == 1.0
+        spread = "\n\n".join(f"{w} " + "filler " * 40 for w in words)
+        assert licenses.scan(spread.encode(), ordered)[5] == licenses.scan(spread.encode(), ordered)[4]
+    prefixed = b"rem Permission is hereby granted, free of charge,\nrem to any person obtaining\nrem a copy of this software"
+    assert licenses.scan(prefixed, ordered)[5:] == ("mit", 1.0)
+
+
 def test_decontamination(spark, given, nothing):
     items = {r.item_id: r.text for r in given["benchmark"].collect()}
     docs = given["documents"]
