@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from adsettle.llm.base import QUERIES, SQL, Query
 
 for _name in (
-    "anomaly templates bpe warc bayes licenses pii decontamination languages near_duplicates periodic divergence".split()
+    "anomaly templates bpe warc bayes licenses pii decontamination languages near_duplicates periodic divergence shards".split()
 ):
     importlib.import_module(f"adsettle.llm.{_name}")
 
