@@ -1,5 +1,5 @@
-"""A corpus from raw documents: good texts, one of each group of near copies, no benchmark items, no personal data,
-encoded.
+"""A corpus from raw documents: good texts, one of each group of near-duplicates by SimHash, no benchmark items, no
+personal data, encoded.
 
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept, and all but the last return the columns of
 documents. Null and empty texts, repeated rows and rows without doc_id pass as each operator defines; none fails.
@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adsettle.llm import bayes, bpe, decontamination, near_duplicates, pii, similar
+from adsettle.llm import bayes, bpe, decontamination, near_duplicates, pii
 from adsettle.llm.base import table
 from adsettle.session import staging_path
 
@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts 0.8 similar on 5-word shingles, that with the smallest doc_id."""
-    return near_duplicates.one_of_each(docs, similar.similar_groups(docs))
+    """Of each group of op10, 3-word fingerprints linked at 3 bits or fewer, the document with the smallest doc_id."""
+    return near_duplicates.one_of_each(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality),
-    ("near-duplicates", near_dedup),
+    ("SimHash near-dedup", near_dedup),
     ("benchmark decontamination", benchmark),
     ("personal data", personal_data),
     ("byte-level BPE", encode),
