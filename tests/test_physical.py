@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from catalog.base import QUERIES
 from adsettle.plans import media, monthly, weekly
 from adsettle.plans.dimension import MONTH_ACCOUNT
 from catalog import sources as S
@@ -36,7 +37,7 @@ def no_broadcast(static):
     static.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_generated_methods_compile_and_nothing_is_crossed(static, name):
     df = contract.queries()[name](static, FOLDER)
     assert all(size < JIT_LIMIT for size in method_sizes(static, df))
