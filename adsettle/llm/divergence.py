@@ -6,9 +6,9 @@ smoothed word frequencies, and for each source the words that set it apart from
 Frequencies come from one pass over the texts. A task counts occurrences and documents per (language, source, term) in
 a block in memory. Once the block holds BLOCK entries it is spilled as a run: entries sorted by term, cut by hash of
 term and language into shards, and within a shard into pieces of at most PIECE entries. Spark's shuffle carries the
-pieces to the shard's task and orders them by their first term, nothing else. There a heap merges the runs: a piece joins the heap when the
-merge arrives at its first term, so that only pieces about the current term are open. A term is complete when the heap's
-least term is greater; terms of fewer than LEAST_DOCS documents of their language are left out there.
+pieces to the shard's task and orders them by their first term, nothing else. There a heap merges the runs: it holds the
+open pieces by their next term, and gives out, a stretch of terms at a time, all entries below the first term of the
+piece that comes next. Terms of fewer than LEAST_DOCS documents of their language are left out there.
 
 Pairs are then made up of corrections, streamed over the postings of each term. If no source had any word, the value of
 a pair would be that of the two floor frequencies times the number of terms. A term that occurs in the one source only
@@ -22,12 +22,15 @@ All arithmetic is on whole numbers.
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +40,10 @@ from adsettle.session import stage
 LEAST_DOCS = 10
 #: Entries of a block before it is spilled, and of a piece of a run.
 BLOCK, PIECE = 300_000, 4_096
+#: Entries more that the merge opens before it gives out what is complete.
+STRETCH = 200_000
+#: Pairs of sources whose corrections are made at a time.
+PAIRS = 1_000_000
 #: Sources by sources whose corrections a task holds at a time.
 TILE = 512
 #: Terms of a source that are named.
@@ -50,30 +57,33 @@ TERMS = bytes(32 if b < 65 or 90 < b < 97 or 122 < b < 128 else b + 32 if b < 91
 
 PIECES = "shard int, first binary, keys array<binary>, sources array<binary>, ns array<long>, docs array<long>"
 FREQUENCIES = "lang string, term string, source string, n long, lang_n long, head boolean"
+ENTRY = pa.schema([("key", pa.binary()), ("source", pa.binary()), ("n", pa.int64()), ("docs", pa.int64())])
 
 Block = dict[tuple[bytes, bytes], tuple[Counter, Counter]]
 
 
 def spilled(block: Block, shards: int) -> pa.RecordBatch:
-    """A block as a run: per shard its entries by term, in pieces. A key is the term, a zero byte and the language; no
+    """A block as a run: per shard its entries by key, in pieces. A key is the term, a zero byte and the language; no
     term holds a zero byte."""
-    parts: dict[int, list] = {}
+    parts, numbers = [], []
     for (lang, source), (ns, docs) in block.items():
-        tail = b"\0" + lang
-        for term, n in ns.items():
-            key = term + tail
-            parts.setdefault(crc32(key) % shards, []).append((key, source, n, docs[term]))
-    pieces: list[tuple[int, bytes, list]] = []
-    for shard, part in sorted(parts.items()):
-        part.sort()
-        pieces += [(shard, part[at][0], part[at : at + PIECE]) for at in range(0, len(part), PIECE)]
-    offsets = pa.array(np.cumsum([0, *(len(p) for _, _, p in pieces)]), pa.int32())
-    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
-    lists = [
-        pa.ListArray.from_arrays(offsets, pa.array([e[i] for _, _, p in pieces for e in p], kind))
-        for i, kind in enumerate(kinds)
-    ]
-    heads = [pa.array([p[0] for p in pieces], pa.int32()), pa.array([p[1] for p in pieces], pa.binary())]
+        terms = list(ns)
+        numbers.append(np.fromiter(map(crc32, terms, repeat(crc32(lang))), dtype=np.int64, count=len(terms)) % shards)
+        keys = pc.binary_join_element_wise(pa.array(terms, pa.binary()), lang, b"\0")
+        own = [keys, pa.repeat(pa.scalar(source, pa.binary()), len(terms)), pa.array(list(ns.values()), pa.int64())]
+        parts.append(pa.table([*own, pa.array(list(map(docs.__getitem__, terms)), pa.int64())], schema=ENTRY))
+    entries = pa.concat_tables(parts).combine_chunks()
+    by_key = pc.sort_indices(entries["key"]).to_numpy()
+    shard = np.concatenate(numbers)[by_key]
+    order = np.argsort(shard, kind="stable")
+    entries, shard = entries.take(by_key[order]).combine_chunks(), shard[order]
+    begins = np.flatnonzero(np.diff(shard, prepend=-1))
+    sizes = np.diff(begins, append=len(shard))
+    starts = np.concatenate([np.arange(at, at + n, PIECE) for at, n in zip(begins, sizes)])
+    offsets = pa.array(np.append(starts, len(shard)), pa.int32())
+    flat = [entries[c].chunk(0) for c in ENTRY.names]
+    lists = [pa.ListArray.from_arrays(offsets, c) for c in flat]
+    heads = [pa.array(shard[starts], pa.int32()), flat[0].take(pa.array(starts))]
     return pa.RecordBatch.from_arrays([*heads, *lists], names=["shard", "first", "keys", "sources", "ns", "docs"])
 
 
@@ -102,37 +112,65 @@ def runs(texts: DataFrame, shards: int) -> DataFrame:
     return texts.select("lang", "source", "text").mapInArrow(index, PIECES)
 
 
-def merged(pieces: Iterable[tuple[bytes, list, list, list, list]]) -> Iterator[tuple[bytes, dict]]:
-    """Of pieces by their first key, each key with its sources' [occurrences, documents], by key."""
-    heap: list = []
-    key, found = None, {}
+def merged(pieces: Iterable[pa.Table]) -> Iterator[pa.Table]:
+    """Of pieces (tables of ENTRY, each by key) in the order of their first keys, tables that hold all entries of their
+    keys, in the order of the keys.
 
-    def until(bound: bytes | None) -> Iterator[tuple[bytes, dict]]:
-        """Merge what the heap has below ``bound``."""
-        nonlocal key, found
+    A heap holds the open pieces by their next keys. What is below the first key of the newest piece is complete, as
+    every later piece begins there or after. So whenever STRETCH entries more are open, all pieces with a next key below it are
+    taken from the heap, cut there, and what they go on with is put back.
+    """
+    heap: list[tuple[bytes, int, int, pa.Table]] = []
+    held, enough = 0, STRETCH
+
+    def until(bound: bytes | None) -> Iterator[pa.Table]:
+        nonlocal held
+        cuts = []
         while heap and (bound is None or heap[0][0] < bound):
-            least, order, at, piece = heap[0]
-            if least != key:
-                if key is not None:
-                    yield key, found
-                key, found = least, {}
-            _, keys, sources, ns, docs = piece
-            while at < len(keys) and keys[at] == least:
-                sums = found.setdefault(sources[at], [0, 0])
-                sums[0] += ns[at]
-                sums[1] += docs[at]
-                at += 1
-            if at < len(keys):
-                heapq.heapreplace(heap, (keys[at], order, at, piece))
-            else:
-                heapq.heappop(heap)
+            _, order, at, piece = heapq.heappop(heap)
+            keys = piece["key"]
+            end = len(piece) if bound is None else bisect_left(range(len(piece)), bound, at, key=lambda i: keys[i].as_py())
+            cuts.append(piece.slice(at, end - at))
+            held -= end - at
+            if end < len(piece):
+                heapq.heappush(heap, (keys[end].as_py(), order, end, piece))
+        if cuts:
+            yield pa.concat_tables(cuts)
 
     for order, piece in enumerate(pieces):
-        yield from until(piece[0])
-        heapq.heappush(heap, (piece[0], order, 0, piece))
+        first = piece["key"][0].as_py()
+        if held >= enough:
+            yield from until(first)
+            enough = held + STRETCH
+        heapq.heappush(heap, (first, order, 0, piece))
+        held += len(piece)
     yield from until(None)
-    if key is not None:
-        yield key, found
+
+
+def summed(entries: pa.Table, least_docs: int) -> pa.RecordBatch:
+    """Rows of FREQUENCIES of all keys in ``entries`` that have at least ``least_docs`` documents."""
+    keys, sources = (entries[c].combine_chunks().dictionary_encode() for c in ("key", "source"))
+    if isinstance(keys, pa.ChunkedArray):
+        keys, sources = keys.unify_dictionaries().combine_chunks(), sources.unify_dictionaries().combine_chunks()
+    place = keys.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
+    order = np.argsort(place, kind="stable")
+    place = place[order]
+    begins = np.flatnonzero(np.diff(place, prepend=-1))
+    n, docs = (np.add.reduceat(entries[c].to_numpy()[order], begins) for c in ("n", "docs"))
+    of_key, of_source = np.divmod(place[begins], len(sources.dictionary))
+    heads = np.flatnonzero(np.diff(of_key, prepend=-1))
+    sizes = np.diff(heads, append=len(of_key))
+    kept = np.repeat(np.add.reduceat(docs, heads) >= least_docs, sizes)
+    lang_n = np.repeat(np.add.reduceat(n, heads), sizes)
+    head = np.zeros(len(n), dtype=bool)
+    head[heads] = True
+    used, again = np.unique(of_key[kept], return_inverse=True)
+    named = [k.partition(b"\0")[::2] for k in keys.dictionary.take(pa.array(used)).to_pylist()]
+    terms, langs = (pa.array([x[i] for x in named], pa.binary()).cast(pa.string()) for i in range(2))
+    at = pa.array(again)
+    names = sources.dictionary.take(pa.array(of_source[kept])).cast(pa.string())
+    columns = [langs.take(at), terms.take(at), names, *(pa.array(x[kept]) for x in (n, lang_n, head))]
+    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in FREQUENCIES.split(", ")])
 
 
 def frequencies(texts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -145,29 +183,14 @@ def frequencies(texts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-
-        def batch() -> pa.RecordBatch:
-            kinds = [pa.binary()] * 3 + [pa.int64()] * 2 + [pa.bool_()]
-            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            rows.clear()
-            texts_ = [c.cast(pa.string()) for c in columns[:3]]
-            return pa.RecordBatch.from_arrays([*texts_, *columns[3:]], names=[f.split()[0] for f in FREQUENCIES.split(", ")])
-
-        def pieces() -> Iterator[tuple]:
+        def pieces() -> Iterator[pa.Table]:
             for b in batches:
                 for i in range(len(b)):
-                    yield tuple(b.column(c)[i].as_py() for c in ("first", "keys", "sources", "ns", "docs"))
-
-        for key, found in merged(pieces()):
-            if sum(d for _, d in found.values()) >= least_docs:
-                term, _, lang = key.partition(b"\0")
-                whole = sum(n for n, _ in found.values())
-                rows += [(lang, term, s, n, whole, not i) for i, (s, (n, _)) in enumerate(sorted(found.items()))]
-            if len(rows) >= 20_000:
-                yield batch()
-        if rows:
-            yield batch()
+                    yield pa.table([b.column(c)[i].values for c in ("keys", "sources", "ns", "docs")], schema=ENTRY)
+
+        for entries in merged(pieces()):
+            rows = summed(entries, least_docs)
+            yield from (rows.slice(at, 20_000) for at in range(0, len(rows), 20_000))
 
     dealt = runs(texts, shards).repartition(shards, "shard").sortWithinPartitions("first")
     return dealt.select("first", "keys", "sources", "ns", "docs").mapInArrow(merge, FREQUENCIES)
@@ -191,9 +214,18 @@ def plain_apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // (p + q)
 
 
+def pairs_within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (i, j), i < j, of all pairs within stretches of these sizes that lie one after the other."""
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    after = ends - np.arange(len(ends)) - 1  # how many follow in the stretch
+    i = np.repeat(np.arange(len(ends)), after)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
+    return i, j
+
+
 def common_corrections(postings: DataFrame) -> DataFrame:
-    """(lang, a, b, value): over the terms that two sources share, what both occurring changes beyond what each one
-    does. ``postings``: (lang, tile_a, tile_b, of), ``of`` an array of a term's (at, p, p0) in both tiles."""
+    """(lang, a, b, value), a < b: over the terms that two sources share, what both occurring changes beyond what each
+    one does. ``postings``: (lang, tile_a, tile_b, of), ``of`` an array of a term's (at, p, p0) in both tiles."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, square = None, np.zeros((0, 0), dtype=np.int64)
@@ -206,21 +238,31 @@ def common_corrections(postings: DataFrame) -> DataFrame:
 
         for batch in batches:
             lists = batch.column(3)
-            flat = lists.flatten()
-            at, p, p0 = (np.asarray(flat.field(k)) for k in ("at", "p", "p0"))
-            ends = np.cumsum(np.asarray(lists.value_lengths()))
-            tiles = zip(*[batch.column(k).to_pylist() for k in range(3)])
-            for own, first, end in zip(tiles, np.concatenate(([0], ends[:-1])), ends):
+            sizes = np.asarray(lists.value_lengths()).astype(np.int64)
+            flat, ends = lists.flatten(), np.cumsum(sizes)
+            tiles = list(zip(*[batch.column(k).to_pylist() for k in range(3)]))
+            row = 0
+            while row < len(tiles):
+                # some terms of one square, so many that they make about PAIRS pairs
+                own, last, made = tiles[row], row, 0
+                while last < len(tiles) and tiles[last] == own and made < PAIRS:
+                    made += int(sizes[last]) ** 2 // 2
+                    last += 1
                 if own != tile:
                     if tile is not None:
                         yield out()
                     tile, square = own, np.zeros((TILE, TILE), dtype=np.int64)
-                here, with_, base = at[first:end], p[first:end], p0[first:end]
-                i, j = np.flatnonzero(here // TILE == own[1]), np.flatnonzero(here // TILE == own[2])
-                pa_, qa = with_[i][:, None], base[i][:, None]
-                pb, qb = with_[j][None, :], base[j][None, :]
-                change = plain_apart(pa_, pb) - plain_apart(pa_, qb) - plain_apart(qa, pb) + plain_apart(qa, qb)
-                square[np.ix_(here[i] % TILE, here[j] % TILE)] += change
+                part = flat.slice(ends[row] - sizes[row], ends[last - 1] - ends[row] + sizes[row])
+                at, p, p0 = (np.asarray(part.field(k)) for k in ("at", "p", "p0"))
+                order = np.lexsort((at, np.repeat(np.arange(last - row), sizes[row:last])))
+                at, p, p0 = at[order], p[order], p0[order]
+                i, j = pairs_within(sizes[row:last])
+                if own[1] != own[2]:
+                    across = (at[i] // TILE == own[1]) & (at[j] // TILE == own[2])
+                    i, j = i[across], j[across]
+                change = plain_apart(p[i], p[j]) - plain_apart(p[i], p0[j]) - plain_apart(p0[i], p[j]) + plain_apart(p0[i], p0[j])
+                np.add.at(square, (at[i] % TILE, at[j] % TILE), change)
+                row = last
         if tile is not None:
             yield out()
 
@@ -280,11 +322,9 @@ def pair_values(groups: DataFrame, placed: DataFrame) -> DataFrame:
         .select("lang", "tile_a", "tile_b", "of")
         .sortWithinPartitions("lang", "tile_a", "tile_b")
     )
-    both = common_corrections(postings).filter("a != b")
-    # a square on the diagonal holds either order, one off it only the lesser tile first
-    off = both.filter(F.floor(F.col("a") / TILE) != F.floor(F.col("b") / TILE))
+    both = common_corrections(postings)
     mirrored = lambda rows: rows.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value")
-    parts = [none, one, mirrored(one), both, mirrored(off)]
+    parts = [none, one, mirrored(one), both, mirrored(both)]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)

@@ -63,23 +63,38 @@ def test_more_words_than_a_long_holds(spark):
     assert p == 1 + 10**9 * (2 * 10**10 + 2) // (4 * 10**10 + 6)
 
 
-def test_merge():
-    """Runs in pieces give the same sums as counting at once, in order, with few pieces open."""
+def test_merge(monkeypatch):
+    """Runs in pieces give the same sums as counting at once, in order, in stretches of whole keys."""
     draw = random.Random(4)
     entries = Counter()
     pieces = []
     for _ in range(30):
-        run = Counter((b"k%03d" % draw.randrange(300), b"s%d" % draw.randrange(3)) for _ in range(200))
+        run = Counter((b"k%03d\0en" % draw.randrange(300), b"s%d" % draw.randrange(3)) for _ in range(200))
         entries += run
         part = sorted((k, s, n, 1) for (k, s), n in run.items())
-        pieces += [list(map(list, zip(*part[at : at + 16]))) for at in range(0, len(part), 16)]
-    pieces = sorted(([p[0][0], *p] for p in pieces), key=lambda p: p[0])
-    got = list(D.merged(pieces))
-    assert [k for k, _ in got] == sorted({k for k, _ in entries})
-    assert {(k, s): v[0] for k, found in got for s, v in found.items()} == dict(entries)
+        pieces += [D.pa.table(list(map(list, zip(*part[at : at + 16]))), schema=D.ENTRY) for at in range(0, len(part), 16)]
+    pieces.sort(key=lambda p: p["key"][0].as_py())
+    for stretch in (1, 500, 10**6):
+        monkeypatch.setattr(D, "STRETCH", stretch)
+        tables = list(D.merged(pieces))
+        keys = [sorted(set(t["key"].to_pylist())) for t in tables]
+        assert [k for own in keys for k in own] == sorted({k for k, _ in entries}) and (len(tables) > 1) == (stretch < 10**6)
+        rows = [r for t in tables for r in D.summed(t, 1).to_pylist()]
+        assert {(r["term"].encode() + b"\0en", r["source"].encode()): r["n"] for r in rows} == dict(entries)
+        assert sum(r["head"] for r in rows) == len({k for k, _ in entries})
+        assert all(r["lang_n"] == sum(n for (k, _), n in entries.items() if k == r["term"].encode() + b"\0en") for r in rows)
     assert list(D.merged([])) == []
 
 
+def test_pairs():
+    import numpy as np
+
+    sizes = np.array([1, 3, 0, 2, 4])
+    i, j = D.pairs_within(sizes)
+    starts = np.cumsum(sizes) - sizes
+    assert list(zip(i, j)) == [(s + a, s + b) for s, n in zip(starts, sizes) for a in range(n) for b in range(a + 1, n)]
+
+
 def test_terms():
     text = "Ab1cD_é\x00x\tÀB@[`{~\x7f\u0080"
     want = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}))
