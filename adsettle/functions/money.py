@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -20,6 +21,8 @@ _NUMBER = (
     rf"^\s*[+-]?(inf|infinity|nan|({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})"
     rf"(e[+-]?{_DIGITS})?)\s*$"
 )
+#: The same pattern where cells are read, before they are in a column.
+NUMBER = re.compile(_NUMBER.replace("$", r"\Z"), re.IGNORECASE | re.ASCII)
 
 
 def money(df: DataFrame, name: str, lenient: bool = False) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adsettle.functions.money import beyond_tolerance, or_zero, quoted
+from adsettle.operators.totals import BAD, or_bad
 
 
 def enrich(
@@ -39,25 +40,26 @@ def spend_with_recharge(
     labels: Sequence[str],
     spend_name: str,
     recharge_name: str,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Full outer merge of spend and recharge totals.
 
     Key and labels come from the spend side where it has them; a missing amount is 0; rows without
     any amount beyond the tolerance go. An account that has two recharge rows keeps both, each with
-    the whole spend. NULL keys never meet.
+    the whole spend. NULL keys never meet. ``by`` columns are part of the key.
     """
     spent, paid = spend.alias("spent"), recharge.alias("paid")
-    k = quoted(key)
-    merged = spent.join(paid, F.col(f"spent.{k}") == F.col(f"paid.{k}"), "full").select(
-        *[
-            F.coalesce(F.col(f"spent.{quoted(c)}"), F.col(f"paid.{quoted(c)}")).alias(c)
-            for c in [key, *labels]
-        ],
-        or_zero(F.col(f"spent.{quoted(spend_name)}")).alias(spend_name),
-        or_zero(F.col(f"paid.{quoted(recharge_name)}")).alias(recharge_name),
+    side = lambda name, c: F.col(f"{name}.{quoted(c)}")
+    meet = reduce(lambda a, b: a & b, [side("spent", c) == side("paid", c) for c in (*by, key)])
+    bad = BAD in spend.columns
+    merged = spent.join(paid, meet, "full").select(
+        *[F.coalesce(side("spent", c), side("paid", c)).alias(c) for c in [*by, key, *labels]],
+        or_zero(side("spent", spend_name)).alias(spend_name),
+        or_zero(side("paid", recharge_name)).alias(recharge_name),
+        *[(F.coalesce(side("spent", c), F.lit(0)) + F.coalesce(side("paid", c), F.lit(0))).alias(c) for c in [BAD] * bad],
     )
     return merged.filter(
-        beyond_tolerance(F.col(quoted(spend_name)), F.col(quoted(recharge_name)))
+        or_bad(merged, beyond_tolerance)(F.col(quoted(spend_name)), F.col(quoted(recharge_name)))
     )
 
 

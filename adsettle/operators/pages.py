@@ -2,19 +2,209 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import sys
+from collections.abc import Iterator, Sequence
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import LongType, StructField, StructType
 
-from adsettle.session import stage
+from adsettle.functions.money import quoted
+from adsettle.session import stage, staging_path
+from adsettle.sources import cells
+from adsettle.sources.cells import locate
+
+# Task code travels with the job, so workers need no copy of the package.
+for _module in (cells, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
 
 # Rows per output file, plain and small-page results.
 PAGE_ROWS = 1_000_000
 SMALL_PAGE_ROWS = 50_000
 
-# monotonically_increasing_id keeps the row number within a partition in its low 33 bits.
-_ROW_BITS = (1 << 33) - 1
+# More tasks than this cost more than they gain; a task then takes several pages in a row.
+MOST_TASKS = 10_000
+
+ADDED = ("row_index", "page", "pages")
+
+
+class PageSlices(DataSource):
+    """Pages as slices of sorted files: a page is read whole by one task, in order, whatever files it lies in.
+
+    Options: ``spans`` JSON of [group, file, first row, rows] in the order of the index, ``cap`` rows of a
+    page, ``most`` tasks, ``least`` tasks.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "adsettle_pages"
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return PageReader(dict(self.options), schema)
+
+
+class Part(InputPartition):
+    """Pages of one task: [(page, pages of its group, index of its first row, [(file, first row, rows)])]."""
+
+
+def cut(spans: Sequence[tuple], cap: int) -> Iterator[tuple[int, int, int, list[tuple[str, int, int]]]]:
+    """The pages of all groups of spans, one after the other."""
+    for _, own in groupby(spans, key=lambda s: s[0]):
+        own = list(own)
+        pages = -(-sum(s[3] for s in own) // cap)
+        page, room, slices = 1, cap, []
+        for _, file, first, rows in own:
+            while rows:
+                taken = min(rows, room)
+                slices.append((file, first, taken))
+                first, rows, room = first + taken, rows - taken, room - taken
+                if not room:
+                    yield page, pages, (page - 1) * cap, slices
+                    page, room, slices = page + 1, cap, []
+        if slices:
+            yield page, pages, (page - 1) * cap, slices
+
+
+class PageReader(DataSourceReader):
+    def __init__(self, options: dict[str, str], schema: StructType):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        self.options, self.schema = options, to_arrow_schema(schema)
+        self.columns = [c for c in schema.fieldNames() if c not in ADDED]
+
+    def partitions(self) -> list[InputPartition]:
+        cap = int(self.options["cap"])
+        spans = [tuple(s) for s in json.loads(self.options["spans"])]
+        rows = sum(s[3] for s in spans)
+        room = max(1, rows // int(self.options["most"]), min(cap, rows // int(self.options["least"])))
+        parts: list[Part] = []
+        held, taken = [], 0
+        for page in cut(spans, cap):
+            held.append(page)
+            taken += sum(s[2] for s in page[3])
+            if taken >= room:
+                parts.append(Part(held))
+                held, taken = [], 0
+        return [*parts, *([Part(held)] if held else [])] or [Part([])]
+
+    def read(self, part: Part) -> Iterator[pa.RecordBatch]:
+        files: dict[str, object] = {}
+        for page, pages, index, slices in part.value:
+            for file, first, rows in slices:
+                for batch in self._slice(files, file, first, rows):
+                    n = len(batch)
+                    made = {
+                        "row_index": pa.array(range(index, index + n), pa.int64()),
+                        "page": pa.array([page] * n, pa.int64()),
+                        "pages": pa.array([pages] * n, pa.int64()),
+                    }
+                    index += n
+                    data = [
+                        made[f.name] if f.name in made else batch.column(f.name).cast(f.type) for f in self.schema
+                    ]
+                    yield pa.RecordBatch.from_arrays(data, schema=self.schema)
+
+    def _slice(self, files: dict, file: str, first: int, rows: int) -> Iterator[pa.RecordBatch]:
+        """Rows of a file; of its row groups only those that hold some."""
+        from pyarrow import parquet
+
+        if file not in files:
+            files.clear()  # pages go through the files in order
+            store, name = locate(file)
+            files[file] = parquet.ParquetFile(store.open_input_file(name))
+        source, start = files[file], 0
+        for group in range(source.num_row_groups):
+            n = source.metadata.row_group(group).num_rows
+            a, b = max(first, start), min(first + rows, start + n)
+            if a < b:
+                table = source.read_row_group(group, columns=self.columns).slice(a - start, b - a)
+                yield from table.combine_chunks().to_batches(max_chunksize=10_000)
+            start += n
+
+
+def sorted_files(df: DataFrame, cap: int, order: Sequence[Column | str] = (), by: Sequence[str] = ()) -> str:
+    """``df`` written so that the files, in the order of their numbers, hold each group's rows in order.
+
+    With ``order`` that is a range sort, the only exchange, over rows that are staged with a number each: rows
+    that tie are put in order of that number, so that neither one value nor equal rows fill a partition, and
+    a repeated task finds every number as it was. Only an order by something that ``df`` doesn't show can't be told
+    of staged rows; its ties are numbered where they lie. Without ``order`` nothing is exchanged.
+    """
+    keys = [F.col(quoted(c)) for c in by]
+    if order:
+        numbered = df.withColumn("_tie", F.monotonically_increasing_id())
+        if shows(df, order):
+            numbered = stage(numbered, "numbered")
+        df = numbered.orderBy(*keys, *order, F.hash("_tie"), "_tie").drop("_tie")
+    elif by:
+        df = df.sortWithinPartitions(*keys)
+    path = staging_path(df.sparkSession, "pages")
+    # a page is read from the row groups it lies in, so these are no longer than a page
+    df.write.option("parquet.block.row.count.limit", max(cap, 1_000)).parquet(path)
+    return path
+
+
+def shows(df: DataFrame, order: Sequence[Column | str]) -> bool:
+    """Whether the columns of ``df`` are enough to sort it."""
+    try:
+        df.sparkSession.createDataFrame([], df.schema).orderBy(*order)
+    except AnalysisException:
+        return False
+    return True
+
+
+def spans_of(
+    df: DataFrame, path: str, by: Sequence[str] = (), sums: Sequence[str] = ()
+) -> list[dict]:
+    """Where each group's rows lie, by group and file: file, first, rows, the ``by`` values and ``sums``.
+
+    One row per group and file, counted from the narrow columns."""
+    keys = [F.col(quoted(c)) for c in by]
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    found = (
+        rows.select(
+            F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"), *keys,
+            *[F.col(quoted(c)) for c in sums],
+        )
+        .groupBy("_file", *keys)
+        .agg(
+            F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"),
+            *[F.sum(quoted(c)).alias(c) for c in sums],
+        )
+        .collect()
+    )
+
+    def number(file: str) -> tuple[int, str]:
+        name = file.rpartition("/")[2]
+        return int(name.split("-")[1]), name
+
+    spans = [r.asDict() for r in found]
+    groups = lambda s: json.dumps([s[c] for c in by], ensure_ascii=False, default=str)
+    return sorted(spans, key=lambda s: (groups(s), number(s["_file"]), s["_first"]))
+
+
+def paged(df: DataFrame, path: str, spans: Sequence[dict], cap: int, by: Sequence[str] = (), most: int = MOST_TASKS) -> DataFrame:
+    """The sorted files of ``df`` as pages: every column, ``row_index`` from 0 and ``page`` from 1 within the group, and
+    ``pages``, how many the group has. No exchange: each page is read by one task."""
+    spark = df.sparkSession
+    spark.dataSource.register(PageSlices)
+    listed = [
+        [json.dumps([s[c] for c in by], ensure_ascii=False, default=str), s["_file"], s["_first"], s["_rows"]]
+        for s in spans
+    ]
+    schema = StructType([*df.schema.fields, *[StructField(name, LongType()) for name in ADDED]])
+    return (
+        spark.read.format("adsettle_pages")
+        .schema(schema)
+        .options(spans=json.dumps(listed, ensure_ascii=False), cap=cap, most=most, least=4 * spark.sparkContext.defaultParallelism)
+        .load()
+    )
 
 
 def with_pages(df: DataFrame, cap: int, order: Sequence[Column | str] = ()) -> DataFrame:
@@ -23,45 +213,19 @@ def with_pages(df: DataFrame, cap: int, order: Sequence[Column | str] = ()) -> D
 
 
 def counted_pages(
-    df: DataFrame, cap: int, order: Sequence[Column | str] = ()
+    df: DataFrame, cap: int, order: Sequence[Column | str] = (), most_tasks: int = MOST_TASKS
 ) -> tuple[DataFrame, int, int]:
-    """``with_pages``, and how many rows and pages there are.
-
-    With ``order`` the index follows the global order: a range sort, never a one-partition window.
-    Rows that tie are put in order of a number of their own, so that neither one value nor equal rows
-    fill a partition. Without ``order`` no sort happens. The numbered rows are written once,
-    because two runs of a range sort need not cut the same partitions; then one number per partition
-    is counted from the narrow columns, and an index is a row's place in its partition plus the rows
-    before it.
+    """``with_pages``, and how many rows and pages there are. Each page lies whole in one partition, in row order.
+
+    With ``order`` the index follows the global order: a range sort, never a one-partition window. Rows are written
+    in that order once, their files are counted, and a page is a slice of these files.
     """
     if cap < 1:
         raise ValueError("a page holds at least one row")
-    placed = df
-    if order:
-        # rows are numbered where they lie; which number a row gets may change until the rows are staged
-        own = F.monotonically_increasing_id()
-        placed = df.withColumn("_tie", own).orderBy(*order, F.hash("_tie"), "_tie").drop("_tie")
-    placed = placed.withColumns(
-        {
-            "_part": F.spark_partition_id(),
-            "_place": F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
-        }
-    )
-    placed = stage(placed, "pages")
-    counts = placed.groupBy("_part").agg((F.max("_place") + 1).alias("n")).collect()
-    before, offsets = 0, []
-    for part, n in sorted((r["_part"], r["n"]) for r in counts):
-        offsets.append((part, before))
-        before += n
-    # One row per task of the write above, whatever the data holds: safe to broadcast.
-    starts = df.sparkSession.createDataFrame(offsets, "_part int, _before long")
-    paged = (
-        placed.join(F.broadcast(starts), "_part")
-        .withColumn("row_index", F.col("_before") + F.col("_place"))
-        .withColumn("page", (F.floor(F.col("row_index") / F.lit(cap)) + 1).cast("long"))
-        .drop("_part", "_place", "_before")
-    )
-    return paged, before, -(-before // cap)
+    path = sorted_files(df, cap, order)
+    spans = spans_of(df, path)
+    rows = sum(s["_rows"] for s in spans)
+    return paged(df, path, spans, cap, most=most_tasks).drop("pages"), rows, -(-rows // cap)
 
 
 def top_rows(df: DataFrame, count: int, order: Sequence[Column | str]) -> DataFrame:

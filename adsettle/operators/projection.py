@@ -62,9 +62,10 @@ def resolve(headers: Sequence[str], wanted: Iterable[Field]) -> list[tuple[str,
     return found
 
 
-def bind(df: DataFrame, wanted: Iterable[Field]) -> DataFrame:
-    """Project a table onto a mapping. Header errors surface here, before any job runs."""
-    items = []
+def bind(df: DataFrame, wanted: Iterable[Field], keep: Sequence[str] = ()) -> DataFrame:
+    """Project a table onto a mapping; ``keep`` names columns that stay as they are. Header errors surface here, before
+    any job runs."""
+    items = [quoted(c) for c in keep]
     for name, hit in resolve(df.columns, wanted):
         cells = ", ".join(map(quoted, hit))
         items.append(f"{cells if len(hit) == 1 else f'coalesce({cells})'} AS {quoted(name)}")

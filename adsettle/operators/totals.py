@@ -35,6 +35,26 @@ def totals(
     )
 
 
+#: Of a table read by a batch, how many amounts of a row are no numbers. Such a row stays in the totals, which add these
+#: counts up, so that the entry it belongs to can be told.
+BAD = "_bad"
+
+
+def carried(raw: DataFrame, by: Sequence[str]) -> list[str]:
+    """What a settlement takes along besides the mapped columns: the ``by`` columns, each value of which is settled on its
+    own, and the count of bad amounts where there is one."""
+    return [*by, *[c for c in raw.columns if c == BAD]]
+
+
+def bad_amounts(rows: DataFrame) -> dict[str, Column]:
+    return {BAD: F.col(BAD)} if BAD in rows.columns else {}
+
+
+def or_bad(rows: DataFrame, test: Callable[..., Column]) -> Callable[..., Column]:
+    """``test``, or that the row has a bad amount."""
+    return (lambda *values: test(*values) | (F.col(BAD) > 0)) if BAD in rows.columns else test
+
+
 def where_computed(
     rows: DataFrame, columns: Mapping[str, Column], test: Callable[..., Column]
 ) -> DataFrame:

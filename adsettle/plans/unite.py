@@ -9,7 +9,7 @@ from adsettle.functions.money import quoted
 from adsettle.operators.projection import Projection, project
 from adsettle.operators.totals import first_per_key, unique_keys
 from adsettle.session import qualified
-from adsettle.sources.workbook import list_sheets, read_sheets
+from adsettle.sources.workbook import list_sheets, read_sheets, workbooks
 
 
 def unite_sheets(
@@ -24,7 +24,7 @@ def unite_sheets(
     ``union`` projects the rows; ``unique`` is a key and aggregates to group them by. Without
     ``unique`` the first column is the key and the others keep a value each, in key order.
     """
-    files = spark.read.format("binaryFile").load(qualified(spark, path)).select("path")
+    files = workbooks(spark, rows="files", path=qualified(spark, path)).load()
     rows = project(read_sheets(list_sheets(files)).drop("path", "sheet"), union)
     if not dedupe:
         return rows

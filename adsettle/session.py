@@ -26,6 +26,11 @@ def get_session(app: str = "adsettle", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def activate(spark: SparkSession) -> None:
+    """Make the session that of the current thread, where Spark looks for a registered format that is written."""
+    spark.sparkContext._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
+
+
 def staging_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

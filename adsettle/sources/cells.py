@@ -111,13 +111,19 @@ def column_index(reference: str) -> int:
     return index - 1
 
 
-def sheet_cells(stream, strings: SharedStrings) -> Iterator[tuple[int, dict[int, str]]]:
-    """(row number, {column: text}) for each row that has a value; numbers keep their own text."""
+def sheet_cells(
+    stream, strings: SharedStrings, wanted: set[int] | None = None
+) -> Iterator[tuple[int, dict[int, str]]]:
+    """(row number, {column: text}) for each row that has a value; numbers keep their own text.
+
+    A caller may name the ``wanted`` columns after the first row, by filling the set. Of the others
+    no text is made then; they only count as None, where they hold something.
+    """
     number = 0
     places: dict[str, int] = {}
     for row in ended(stream, "row"):
         number = int(row.get("r", number + 1))
-        cells: dict[int, str] = {}
+        cells: dict[int, str | None] = {}
         column = -1
         for cell in row:
             reference = cell.get("r")
@@ -128,48 +134,48 @@ def sheet_cells(stream, strings: SharedStrings) -> Iterator[tuple[int, dict[int,
                 if letters not in places:
                     places[letters] = column_index(letters)
                 column = places[letters]
+            skipped = bool(wanted) and column not in wanted
             for part in cell:
                 if part.tag.endswith("}v"):
                     value = part.text
-                    if value and cell.get("t") == "s":
+                    if value and cell.get("t") == "s" and not (skipped and cells):
                         value = strings[int(value)]
                 elif part.tag.endswith("}is"):
-                    value = text_of(part)
+                    value = "?" if skipped and cells else text_of(part)
                 else:
                     continue
                 if value:
-                    cells[column] = value
+                    cells[column] = None if skipped else value
         if cells:
             yield number, cells
 
 
-def sheet_table(
-    stream, strings: SharedStrings
-) -> tuple[list[str], Iterator[list[str | None]]] | None:
-    """The headers of a sheet and an iterator over its rows; None for an empty sheet.
+class Table:
+    """The headers of a sheet and its rows.
 
     The first row with a value holds the headers; every column that has one belongs to the table,
     also behind columns without. Rows that hold nothing in these columns are passed over, and the
     table goes on behind them to the sheet's end. A header that comes again gets a number.
     """
-    rows = sheet_cells(stream, strings)
-    first = next(rows, None)
-    if first is None:
-        return None
-    _, top = first
-    span = sorted(top)
-    headers: list[str] = []
-    for at in span:
-        name, again = top[at], 0
-        while name in headers:
-            again += 1
-            name = f"{top[at]}_{again}"
-        headers.append(name)
-
-    def body() -> Iterator[list[str | None]]:
-        for _, cells in rows:
-            values = [cells.get(i) for i in span]
-            if any(v is not None for v in values):
-                yield values
-
-    return headers, body()
+
+    def __init__(self, stream, strings: SharedStrings):
+        self.wanted: set[int] = set()
+        self.cells = sheet_cells(stream, strings, self.wanted)
+        first = next(self.cells, None)
+        self.span = sorted(first[1]) if first else []
+        self.headers: list[str] = []
+        for at in self.span:
+            name, again = first[1][at], 0
+            while name in self.headers:
+                again += 1
+                name = f"{first[1][at]}_{again}"
+            self.headers.append(name)
+
+    def rows(self, places: list[int] | None = None) -> Iterator[list[str | None]]:
+        """The text of every row in the columns ``places``, by number among the headers; None: in all."""
+        columns = [self.span[i] for i in (range(len(self.span)) if places is None else places)]
+        self.wanted.update(columns or {-1})
+        belongs = set(self.span)
+        for _, cells in self.cells:
+            if not belongs.isdisjoint(cells):
+                yield [cells.get(i) for i in columns]

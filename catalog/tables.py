@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsettle.functions.money import rejected
+from adsettle.functions.money import quoted, rejected
 from adsettle.functions.ports import port_column
 from adsettle.operators.merge import union_all
 from adsettle.operators.pages import counted_pages
@@ -35,13 +35,7 @@ from adsettle.plans.routing import (
 )
 from adsettle.plans.unite import unite_sheets
 from adsettle.session import staging_path
-from adsettle.sinks.tables import (
-    append_table,
-    one_task_per_page,
-    replace_table,
-    write_pages,
-    write_result,
-)
+from adsettle.sinks.tables import append_table, replace_table, write_pages, write_result
 from adsettle.sinks.workbook import write_books
 from adsettle.sources.landed import read_landed
 from adsettle.sources.workbook import (
@@ -227,7 +221,7 @@ def schema_fallback(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-SELECT o_orderpriority AS file, 'general v2' AS mapping,
+SELECT o_orderpriority AS file, 'general 花费' AS mapping,
        CASE WHEN place = 2 OR place = max(place) OVER () THEN 'skipped' ELSE 'loaded' END AS status,
        CASE WHEN place = 2 OR place = max(place) OVER () THEN 0 ELSE c END AS n
 FROM (SELECT o_orderpriority, count(*) AS c, row_number() OVER (ORDER BY o_orderpriority) AS place
@@ -325,24 +319,21 @@ _BOOK = {
 
 def _order_books(spark: SparkSession, folder: str) -> str:
     """Orders as workbooks of three sheets, 2,000 rows to a sheet; returns their folder."""
-    path = staging_path(spark, "books") + "/快手-all"
+    path = staging_path(spark, "books")
     rows = table(spark, folder, "orders").select(
         "o_orderkey",
         *[F.expr(e).alias(h) for h, e in _BOOK.items()],
     )
-    paged, _, pages = counted_pages(rows, 6000, ["o_orderkey"])
+    paged, _, _ = counted_pages(rows, 6000, ["o_orderkey"])
     sheet = F.floor(F.col("row_index") % 6000 / 2000) + 1
-    placed = one_task_per_page(paged, pages).withColumns(
-        {
-            "_file": F.concat(
-                F.lit(f"{path}/快手消耗 "), F.format_string("%05d", "page"), F.lit(".xlsx")
-            ),
-            "_sheet": F.concat(F.lit("表 "), sheet.cast("string")),
-        }
+    placed = paged.select(
+        F.lit("orders").alias("_result"),
+        F.concat(F.lit("快手-all/快手消耗 "), F.format_string("%05d", "page"), F.lit(".xlsx")).alias("_file"),
+        F.concat(F.lit("表 "), sheet.cast("string")).alias("_sheet"),
+        *_BOOK,
     )
-    report = write_books(placed, "_file", "_sheet", list(_BOOK))
-    report.write.parquet(f"{path}-report")
-    return path.rpartition("/")[0]
+    write_books(placed, path)
+    return path
 
 
 _SHEETS_SQL = """
@@ -460,14 +451,14 @@ def settle_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """A whole monthly run: line items as workbooks of an entry, no account list, pages out."""
     base, out = staging_path(spark, "base"), staging_path(spark, "out")
     rows = S.export(spark, folder, "lineitem", S.MONTH_KUAISHOU)
-    paged, _, pages = counted_pages(rows, 20_000)
-    placed = one_task_per_page(paged, pages).withColumns(
-        {
-            "_file": F.concat(F.lit(f"{base}/快手-a/快手 "), F.col("page"), F.lit(".xlsx")),
-            "_sheet": F.concat(F.lit("s"), F.floor(F.col("row_index") % 20_000 / 8000)),
-        }
+    paged, _, _ = counted_pages(rows, 20_000)
+    placed = paged.select(
+        F.lit("lineitem").alias("_result"),
+        F.concat(F.lit("快手-a/快手 "), F.col("page"), F.lit(".xlsx")).alias("_file"),
+        F.concat(F.lit("s"), F.floor(F.col("row_index") % 20_000 / 8000)).alias("_sheet"),
+        *[F.col(quoted(c)) for c in rows.columns],
     )
-    write_books(placed, "_file", "_sheet", rows.columns).write.parquet(f"{base}-report")
+    write_books(placed, base)
     summary = run_batch(spark, base, out, "month", kind="parquet").first()
     if summary["status"] != "ok":
         raise ValueError(summary["message"])
@@ -488,17 +479,17 @@ def workbook_blank_rows(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderkey", *[F.lit(None).cast(t).alias(c) for c, t in orders.dtypes[1:]]
     )
     both = orders.withColumn("blank", F.lit(0)).unionByName(blank.withColumn("blank", F.lit(1)))
-    paged, _, pages = counted_pages(both, 5000, ["o_orderkey", "blank"])
+    paged, _, _ = counted_pages(both, 5000, ["o_orderkey", "blank"])
     shown = F.when(F.col("blank") == 0, F.col("o_orderkey"))
-    placed = one_task_per_page(paged, pages).select(
-        F.concat(F.lit(f"{path}/快手-a/快手 "), F.col("page"), F.lit(".xlsx")).alias("_file"),
+    placed = paged.select(
+        F.lit("orders").alias("_result"),
+        F.concat(F.lit("快手-a/快手 "), F.col("page"), F.lit(".xlsx")).alias("_file"),
         F.lit("s").alias("_sheet"),
         shown.alias("订单"),
         F.col("o_custkey").alias("账户ID"),
         F.col("o_totalprice").alias("金额"),
     )
-    report = write_books(placed, "_file", "_sheet", ["订单", "账户ID", "金额"])
-    report.write.parquet(f"{path}-report")
+    write_books(placed, path)
     wanted = fields({"id": "订单", "account": "账户ID", "amount": "金额"})
     rows = read_sheets(list_sheets(list_files(spark, path)), wanted).drop("path", "sheet")
     return rows.withColumn("amount", F.col("amount").cast("double"))
@@ -513,9 +504,9 @@ def _medium_books(spark: SparkSession, orders: DataFrame, path: str, headers: di
 
 @query(
     """
-SELECT '汇川1.xlsx' AS file_name, 'general v2' AS mapping, 'loaded' AS status, count(*) AS n
+SELECT '汇川1.xlsx' AS file_name, 'general 花费' AS mapping, 'loaded' AS status, count(*) AS n
 FROM orders WHERE o_custkey % 100 = 1
-UNION ALL SELECT '汇川2.xlsx', 'general v2', 'skipped', 0
+UNION ALL SELECT '汇川2.xlsx', 'general 花费', 'skipped', 0
 UNION ALL SELECT '小红书.xlsx', NULL, 'skipped', 0"""
 )
 def batch_load_report(spark: SparkSession, folder: str) -> DataFrame:

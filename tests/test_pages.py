@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from adsettle.operators.pages import top_rows, with_pages
+from adsettle.operators.pages import sorted_files, top_rows, with_pages
 from adsettle.sinks.tables import append_table, replace_table, replace_view, write_pages, write_result
 from adsettle.sources.landed import read_landed
 
@@ -33,7 +33,8 @@ def test_ties_spread_over_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         index = with_pages(df, 50_000, ["v"])
-        sizes = [r["count"] for r in index.groupBy(F.input_file_name()).count().collect()]
+        path = sorted_files(df, 50_000, ["v"])
+        sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) == 8 and max(sizes) < 50_000
