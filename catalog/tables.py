@@ -495,40 +495,6 @@ def workbook_blank_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("amount", F.col("amount").cast("double"))
 
 
-def _medium_books(spark: SparkSession, orders: DataFrame, path: str, headers: dict[str, str]) -> None:
-    """Some orders as one workbook of a medium."""
-    shaped = orders.select(*[F.expr(e).alias(h) for h, e in headers.items()])
-    placed = shaped.coalesce(1).withColumns({"_file": F.lit(path), "_sheet": F.lit("s")})
-    write_books(placed, "_file", "_sheet", list(headers)).write.parquet(f"{path}-report")
-
-
-@query(
-    """
-SELECT '汇川1.xlsx' AS file_name, 'general 花费' AS mapping, 'loaded' AS status, count(*) AS n
-FROM orders WHERE o_custkey % 100 = 1
-UNION ALL SELECT '汇川2.xlsx', 'general 花费', 'skipped', 0
-UNION ALL SELECT '小红书.xlsx', NULL, 'skipped', 0"""
-)
-def batch_load_report(spark: SparkSession, folder: str) -> DataFrame:
-    """The report of a monthly run over a good file, one with other headers and a refused medium."""
-    base, out = staging_path(spark, "media"), staging_path(spark, "media-out")
-    orders = table(spark, folder, "orders")
-    v2 = {"客户名称": "o_orderstatus", "花费": "o_totalprice", "账户ID": "o_custkey",
-          "账户名称": "concat('acct ', o_custkey)", "新客": "o_orderpriority"}
-    _medium_books(spark, orders.filter("o_custkey % 100 = 1"), f"{base}/综媒/汇川1.xlsx", v2)
-    other = {"无": "o_custkey", "花费": "o_totalprice"}
-    _medium_books(spark, orders.filter("o_custkey % 100 = 2"), f"{base}/综媒/汇川2.xlsx", other)
-    _medium_books(spark, orders.filter("o_custkey % 100 = 3"), f"{base}/综媒/小红书.xlsx", other)
-    summary = run_batch(spark, base, out, "month", kind="parquet").first()
-    if summary["status"] != "partial":
-        raise ValueError(f"{summary['status']}: {summary['message']}")
-    report = spark.read.parquet(f"{out}/_load_output_month_综媒")
-    return report.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "mapping", "status",
-        F.col("rows").alias("n"),
-    )
-
-
 # Entries and files by name.
 
 _ENTRY = (
