@@ -1,0 +1,184 @@
+"""The workbook format: planning, pruning, notes, commits and failures."""
+
+from __future__ import annotations
+
+import io
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from adsettle.sinks.workbook import write_books, write_grouped_books, write_result_books
+from adsettle.sources import workbook as W
+from adsettle.sources.cells import SharedStrings, Table
+from tests.test_workbook import MAIN, book
+
+
+class Strings(list):
+    """Shared strings that remember which were asked for."""
+
+    def __init__(self, *texts):
+        super().__init__(texts)
+        self.asked = []
+
+    def __getitem__(self, i):
+        self.asked.append(i)
+        return super().__getitem__(i)
+
+
+def sheet(rows):
+    cells = lambda row: "".join('<c t="s"><v>%d</v></c>' % i if i is not None else "<c/>" for i in row)
+    body = "".join(f"<row>{cells(r)}</row>" for r in rows)
+    return io.BytesIO(f'<worksheet xmlns="{MAIN}"><sheetData>{body}</sheetData></worksheet>'.encode())
+
+
+def test_texts_of_other_columns_are_not_made():
+    strings = Strings("a", "b", "c", "1", "2", "3", "")
+    table = Table(sheet([[0, 1, 2], [3, 4, 5], [None, 4, None], [6, 6, 6], [None, None, 5]]), strings)
+    assert table.headers == ["a", "b", "c"]
+    strings.asked.clear()
+    # the row that has only empty texts is none; one that has a text elsewhere is
+    assert list(table.rows([1])) == [["2"], ["2"], [None]]
+    assert strings.asked.count(5) <= 1 and 4 in strings.asked
+
+
+def test_scan_of_a_table(spark, tmp_path):
+    head = ["账户ID", "名称", "备注"]
+    book(tmp_path / "e1" / "a.xlsx", {"s": [head, ["1", "x", "n"]], "t": [head, ["2", "y", None]]})
+    book(tmp_path / "e2" / "_b.xlsx", {"s": [head, ["3", "z", "m"]]})
+    W.workbooks(spark)
+    read = spark.read.format("workbook")
+    assert read.load(str(tmp_path)).columns == head
+    names = read.schema("_entry string, _file string, `名称` string").load(str(tmp_path))
+    assert sorted(map(tuple, names.collect())) == [("e1", "a.xlsx", "x"), ("e1", "a.xlsx", "y"), ("e2", "_b.xlsx", "z")]
+    plan = names._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan workbook" in plan and "账户ID" not in plan
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW books (`备注` STRING) USING workbook OPTIONS (path '{tmp_path}/e1', sheet 's')")
+    assert spark.sql("SELECT * FROM books").collect() == [("n",)]
+    with pytest.raises(Exception, match="cast these later"):
+        read.schema("`账户ID` double").load(str(tmp_path)).collect()
+
+
+def test_listing_takes_names_as_they_are(spark, tmp_path):
+    base = tmp_path / "a[1]*"
+    for name in ("_x", ".y", "z {1}"):
+        book(base / "e" / f"{name}.xlsx", {"s": [["h"], ["1"]]})
+    book(base / "e" / "deeper" / "no.xlsx", {"s": [["h"], ["1"]]})
+    got = W.list_files(spark, str(base)).orderBy("file_name").collect()
+    assert [r.file_name for r in got] == [".y.xlsx", "_x.xlsx", "z {1}.xlsx"] and all(r.bytes > 300 for r in got)
+
+
+def test_tasks_follow_bytes(tmp_path):
+    many = [(f"f{i:03}", 100_000, None) for i in range(50)]
+    assert len(W.packed(many, 8, 16 << 20)) in (8, 9, 10)
+    assert len(W.packed([(p, 100, None) for p, _, _ in many], 1000, 16 << 20)) == 50
+    assert len(W.packed(many, 1, 1 << 20)) == 9
+    assert [p for part in W.packed(many, 8, 1 << 20) for p, _ in part.value] == [p for p, _, _ in many]
+    # a large file goes by its sheets, the sheets of a task together
+    path = tmp_path / "e" / "a.xlsx"
+    book(path, {f"s{i}": [["h"], *[[f"{i} {j}"] for j in range(3000)]] for i in range(6)})
+    size = path.stat().st_size
+    groups = W.sheet_groups(str(path), None, size // 3)
+    assert [n for g in groups for n in g] == [1, 2, 3, 4, 5, 6] and 2 <= len(groups) <= 4
+    assert len(W.packed([(str(path), 2 << 20, [1, 3, 5])], 64, 1000)) == 3
+
+
+def test_strings_are_parsed_once_for_a_book(tmp_path, monkeypatch):
+    path = tmp_path / "e" / "a.xlsx"
+    book(path, {f"s{i}": [["h"], ["v"]] for i in range(4)})
+    made = []
+    monkeypatch.setattr(W, "SharedStrings", lambda book: made.append(1) or SharedStrings(book))
+    reader = W.WorkbookReader({"path": str(path)}, StructType().add("h", "string"))
+    rows = [r for b in reader.read(W.Part([(str(path), None)])) for r in b.to_pylist()]
+    assert rows == [{"h": "v"}] * 4 and len(made) == 1
+
+
+def test_notes(spark, tmp_path):
+    """Counts, errors and bad amounts come with the rows, from one pass."""
+    book(tmp_path / "e" / "a.xlsx", {"s": [["id", "v"], ["1", 2], ["2", "1,5"], ["3", None], ["4", "x"]], "t": [["id", "v"]]})
+    book(tmp_path / "e" / "b.xlsx", {"s": [["id"], ["1"]]})
+    (tmp_path / "e" / "c.xlsx").write_text("no archive")
+    rows = W.workbooks(spark, path=str(tmp_path), amounts='["v"]').schema("_path string, _note string, _bad int, id string, v string").load().collect()
+    assert sorted((r.id, r._bad) for r in rows if r._note is None) == [("1", 0), ("2", 1), ("3", 0), ("4", 1)]
+    notes = [(r._path[-6:], json.loads(r._note)) for r in sorted(rows, key=lambda r: (r._path, r._note or ""), reverse=True) if r._note]
+    notes.sort(key=lambda n: n[0])
+    assert notes[0] == ("a.xlsx", {"rows": 4, "bad": {"v": [2, "1,5"]}}) and notes[1] == ("a.xlsx", {"rows": 0, "bad": {}})
+    assert "missing headers: v" in notes[2][1]["error"] and "zip" in notes[3][1]["error"]
+
+
+@pytest.mark.parametrize("text, number", [
+    ("1", True), (" -1.5e3 ", True), ("1_000", True), ("inf", True), ("NaN", True), (".5", True), ("5.", True), ("", False),
+    ("1,5", False), ("1d", False), ("0x1p3", False), ("1__0", False), ("元", False), ("１", False), ("1\n2", False),
+])
+def test_amounts_are_judged_as_they_are_cast(spark, text, number):
+    from adsettle.functions.money import NUMBER, rejected
+
+    df = spark.createDataFrame([(text,)], "v string")
+    assert bool(NUMBER.match(text)) == number == (not df.select(rejected(df, "v").alias("r")).first().r)
+
+
+def xlsx_of(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.suffix == ".xlsx")
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    good = spark.range(30).select(F.col("id").cast("string").alias("v"))
+    assert write_result_books(good, str(tmp_path), "r", 10) == 30
+    before = xlsx_of(tmp_path)
+    bad = F.when(F.col("id") == 25, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("string")
+    rows = spark.range(30).repartition(3).select(
+        F.lit("r").alias("_result"), F.concat(F.lit("r"), F.spark_partition_id(), F.lit(".xlsx")).alias("_file"),
+        F.lit("s").alias("_sheet"), bad.alias("v"),
+    )
+    with pytest.raises(Exception, match="broken"):
+        write_books(rows, str(tmp_path))
+    assert xlsx_of(tmp_path) == before == ["r_part1.xlsx", "r_part2.xlsx", "r_part3.xlsx"]
+    assert not list(tmp_path.glob("_run-*"))
+
+
+def test_a_result_replaces_its_own_files_only(spark, tmp_path):
+    df = lambda n: spark.range(n).select(F.col("id").alias("v"))
+    write_result_books(df(25), str(tmp_path), "a", 10)
+    write_result_books(df(5), str(tmp_path), "a_part", 10)
+    (tmp_path / "a_part9.xlsx").write_text("someone else's")
+    write_result_books(df(15), str(tmp_path), "a", 10)
+    assert xlsx_of(tmp_path) == ["a_part.xlsx", "a_part1.xlsx", "a_part2.xlsx", "a_part9.xlsx"]
+    write_result_books(df(0), str(tmp_path), "a", 10)
+    assert xlsx_of(tmp_path) == ["a.xlsx", "a_part.xlsx", "a_part9.xlsx"]
+    write_result_books(df(0), str(tmp_path), "a", 10, empty_file=False)
+    assert xlsx_of(tmp_path) == ["a_part.xlsx", "a_part9.xlsx"]
+
+
+def test_grouped_books(spark, tmp_path):
+    df = spark.range(100).select(F.concat(F.lit("e"), F.col("id") % 3, F.lit("/f")).alias("book"), F.col("id").cast("string").alias("v")).repartition(4)
+    write_grouped_books(df, str(tmp_path), "book", 20)
+    assert xlsx_of(tmp_path) == [f"e{i}/f_part{p}.xlsx" for i in range(3) for p in (1, 2)]
+    back = W.workbooks(spark, path=str(tmp_path)).schema("_entry string, v string").load()
+    assert sorted(map(tuple, back.collect())) == sorted((f"e{i % 3}", str(i)) for i in range(100))
+
+
+def jobs(spark) -> int:
+    return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+
+
+def test_a_batch_takes_as_many_jobs_for_any_number_of_entries(spark, tmp_path):
+    from adsettle.plans import weekly
+    from adsettle.plans.batch import run_batch
+
+    funds = [h[0] if isinstance(h, tuple) else h for h in weekly.GUANGDIANTONG.values()]
+    took = {}
+    for n in (4, 100):
+        base = tmp_path / f"base{n}"
+        for i in range(n):
+            amount = "1,5" if i == 2 else i
+            book(base / f"广点通-{i}" / f"广点通-{i}.xlsx", {"s": [funds, ["1", "n", amount, 3, 1, "现金", "普通"]]})
+        before = jobs(spark)
+        summary = {r.entry: r for r in run_batch(spark, str(base), str(tmp_path / f"out{n}"), "week").collect()}
+        took[n] = jobs(spark) - before
+        assert len(summary) == n and summary["广点通-2"].status == "failed"
+        assert "not a number: 1,5" in summary["广点通-2"].message
+        assert sum(r.status == "ok" for r in summary.values()) == n - 1
+        made = xlsx_of(tmp_path / f"out{n}")
+        assert len(made) == n - 1 and "output_广点通-2.xlsx" not in made
+    assert took[4] == took[100] < 40
