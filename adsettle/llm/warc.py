@@ -27,8 +27,11 @@ from pyspark.sql import functions as F
 from adsettle.llm.base import FEW_ROWS, query, table
 from adsettle.session import stage, staging_path
 
-SEGMENT = 256 * 1024
-CHUNK = 32 * 1024
+#: Bytes of a block that a record holds; the longest fifth or so of pages like the given ones is written in segments.
+SEGMENT = 4 * 1024
+CHUNK = 1024
+#: Segments of a record at most, or somewhat more where a version stands at a cut; longer blocks have longer ones.
+SEGMENTS = 64
 LEAST_BYTES = 1000
 
 # Fixed values of the formats.
@@ -104,7 +107,7 @@ def records(row: dict, most: int = SEGMENT) -> Iterator[bytes]:
     block = HTTP + b"\r\n" if revisit else HTTP + CHUNKED + b"\r\n" + chunk(payload)
     own = f"<urn:uuid:{row['uuid']}>"
     common = [("WARC-Target-URI", row["url"]), ("WARC-Date", row["date"])]
-    pieces = cut(block, most)
+    pieces = cut(block, max(most, -(-len(block) // SEGMENTS)))
     for number, piece in enumerate(pieces, 1):
         fields = [("WARC-Type", "continuation" if number > 1 else "revisit" if revisit else "response")]
         fields += [("WARC-Record-ID", own if number == 1 else f"<urn:uuid:{row['uuid']}:{number}>"), *common]
@@ -297,7 +300,7 @@ def archive(pages: DataFrame, path: str | None = None, most: int = SEGMENT) -> D
     f AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) END AS first FROM d)
     SELECT page_id, n AS payload_bytes, digest AS payload_digest,
         CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-        CASE WHEN first <> page_id THEN first END AS refers_to
+        CASE WHEN first <> page_id THEN first END AS refers_to, true AS sound
     FROM f
     """
 )
@@ -311,4 +314,5 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(there, F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest"),
         "record_type",
         "refers_to",
+        "sound",
     )
