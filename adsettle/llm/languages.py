@@ -5,9 +5,10 @@ have, divided by the root of the product of their numbers. Texts are compared wi
 their kernel values, whitened by the landmarks' own kernel matrix, are the features of one ridge regression per
 language against the others. A batch of texts is scored by two matrix products.
 
-Counted are the n-grams that stand in some training text; what is fitted is bounded: TRAINED texts, LANDMARKS of them
-as landmarks and the GRAMS n-grams that most training texts hold. Which texts these are depends on a hash of doc_id
-alone, the languages taking even parts. Every text is scored whole.
+Counted are the n-grams that stand in some training text; what is fitted is bounded for each language: even parts of TRAINED
+texts and of LANDMARKS landmarks, but EACH texts and one landmark at least, and the GRAMS n-grams that most training texts
+hold. Every language of the table is learned. Which texts are taken depends on a hash of doc_id and text alone. Every text is
+scored whole.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adsettle.llm.base import query, table, with_text_columns
+from adsettle.llm.base import free_name, query, table, with_text_columns
 
-#: Training texts in all, at most; the languages learned, the most frequent first; landmarks; n-grams.
+#: Training texts and landmarks, shared out among the languages; texts of each language at least; n-grams.
 TRAINED = 2400
-LANGUAGES = 200
+EACH = 8
 LANDMARKS = 120
 GRAMS = 6000
 RIDGE = 1e-3
@@ -117,7 +118,7 @@ def fit(grams: list[np.ndarray], langs: list[str]) -> Model | None:
 
 def training_rows(docs: DataFrame) -> DataFrame:
     """(lang, text) of the training texts: not held out, with text and lang; of each language those with the smallest
-    hash of their doc_id.
+    hash of their doc_id, then of their text.
 
     The hash first leaves about twice as many per language as are wanted, in the scan; only then are they ranked, so
     that the ranking sees a bounded number of rows.
@@ -125,16 +126,12 @@ def training_rows(docs: DataFrame) -> DataFrame:
     usable = docs.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(
         F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0
     )
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    each = max(1, TRAINED // max(1, len(counts)))
+    counts = usable.groupBy("lang").count().orderBy("lang").collect()  # one row per language
+    each = max(EACH, TRAINED // max(1, len(counts)))
     limits = [(r.lang, min((1 << 63) - 1, int((2 * each + 50) / r["count"] * (1 << 64)) - (1 << 63))) for r in counts]
     bounds = docs.sparkSession.createDataFrame(limits, "lang string, most long")
-    near = (
-        usable.join(F.broadcast(bounds), "lang")
-        .filter(F.xxhash64("doc_id") <= F.col("most"))
-        .dropDuplicates(["doc_id"])
-    )
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    near = usable.join(F.broadcast(bounds), "lang").filter(F.xxhash64("doc_id") <= F.col("most"))
+    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text")
     return near.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= each).select("lang", "text")
 
 
@@ -153,7 +150,8 @@ def train(docs: DataFrame) -> Model | None:
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` (doc_id, text and others) with lang_pred and score.
+    """``docs`` (text and others) with lang_pred and score, or the first free names if ``docs`` has these: lang_pred_ and
+    so on.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every text if there was nothing to learn
     from. Of languages with equal scores the first by name is taken. Repeated rows get equal results.
@@ -170,9 +168,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             for i, b, v in zip(known, best.tolist(), values.max(axis=1)):
                 lang[i] = own.languages[b]
                 score[i] = min(1.0, max(0.0, (1 + v) / 2))
-        return {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score)}
+        return {names[0]: pa.array(lang, pa.string()), names[1]: pa.array(score)}
 
-    return with_text_columns(docs, "text", "lang_pred string, score double", rows)
+    names = [free_name(docs, "lang_pred"), free_name(docs, "score")]
+    return with_text_columns(docs, "text", f"`{names[0]}` string, `{names[1]}` double", rows)
 
 
 @query()

@@ -236,6 +236,25 @@ def test_languages(given, odd, nothing):
     assert {r.lang_pred for r in languages.identify(odd.select("doc_id", "text"), None).collect()} == {"und"}
 
 
+def test_many_languages(spark):
+    """Three hundred languages, each with a few texts, are all learned; a table with the columns' names is no matter."""
+    draw = random.Random(11)
+    rows, syllables = [], [a + b for a in "bcdfghjklmnpqrstvwxz" for b in "aeiou"]
+    for lang in range(300):
+        own = draw.sample(syllables, 8)
+        for _ in range(16):
+            text = " ".join("".join(draw.choice(own) for _ in range(draw.randrange(1, 4))) for _ in range(40))
+            rows.append((len(rows), text, f"l{lang:03}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    model = languages.train(docs)
+    assert len(model.languages) == 300
+    from pyspark.sql import functions as F
+
+    held = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 == 0).withColumns({"lang_pred": F.lit("x"), "score": F.lit(2)})
+    got = languages.identify(held, model).collect()
+    assert sum(r.lang == r.lang_pred_ for r in got) >= 0.95 * len(got) and got[0].lang_pred == "x"
+
+
 def test_pipeline(spark, given):
     out = corpus_pipeline.run(spark, SF).collect()
     ids = [r.doc_id for r in out]
