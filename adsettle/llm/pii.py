@@ -4,12 +4,16 @@ Base rules find e-mail addresses, IP addresses, card and phone numbers; what the
 high recall propose further spans, which may overlap: addresses of any form, digit groups, key-like strings. Trees
 boosted on format and context features score these; those that reach their generator's threshold are taken too.
 
-The trees learn from the corpus itself: a key-like string is a positive example behind words like "token =", a digit
-group or address behind words like "phone" or "account", unless words for ids or prices follow these or it is a date; all
-others are negative. What a base rule has takes no part. For digit groups and addresses the words aren't a feature: the
-trees tell which formats stand behind them, to find these elsewhere too, and the examples themselves are taken. Features are small integers, so all candidates
+The trees learn from the corpus itself, by two views that have nothing in common. The label is what the words before a
+candidate say: a key-like string is a positive example behind words like "token =", a digit group or address behind words
+like "phone" or "account", unless words for ids or prices follow these or it is a date; all others are negative. The features
+are the candidate's own format and the characters next to it. So the trees tell which formats stand behind such words, and find
+these where no word does. What a base rule has takes no part. Features are small integers, so all candidates
 of the corpus are counted by feature values in one grouped aggregation, and boosting on these counts is boosting on
-every candidate. A threshold is the least score from which candidates are positive with probability PRECISION.
+every candidate of four fifths of the texts, by a hash of the text. On the other fifth a threshold is set for each generator.
+Not every key stands behind such a word, so labels tell some positives only: how many of them, the surest formats show, those
+whose candidates have the greatest share of positive labels. The threshold is the least score from which the share of
+positive labels is PRECISION of that greatest share. A generator whose greatest share is below LABELLED adds nothing.
 
 Patterns are written so that the matcher neither recurses nor looks back more than a few characters: a text of one very
 long run takes linear time.
@@ -27,6 +31,9 @@ from pyspark.sql import functions as F
 from adsettle.llm.base import free_name, query, table
 
 PRECISION = 0.95
+LABELLED = 0.5
+#: Share of a generator's positive labels that the surest formats have to hold.
+SUREST = 0.5
 TREES = 24
 DEPTH = 3
 RATE = 0.3
@@ -42,10 +49,10 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][ -])(?=[0-9](?:[ -]?[0-9]){13})[0-9][0-9 -]*?(?<=[0-9])(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 
-# Whole runs, whatever their length.
+# Whole runs, whatever their length. A number ends at the last digit before anything but digits and their separators.
 HANDLE = r"(?<![^\s@])[^\s@]++@[^\s@]{3,}+"
-NUMBER = r"(?<![0-9.,+])[+(]?[0-9][0-9 ().-]{5,30}[0-9](?![0-9])"
-SECRET = r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{16,}+"
+NUMBER = r"(?<![0-9.,+])[+(]?(?=[0-9][0-9 ().-]{5})[0-9][0-9 ().-]*?(?<=[0-9])(?![ ().-]*+[0-9])"
+SECRET = r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+={0,2}"
 
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
@@ -54,7 +61,6 @@ GENERATORS = {"handle": HANDLE, "number": NUMBER, "secret": SECRET}
 RANK = {kind: i for i, kind in enumerate([*BASE, *GENERATORS])}
 
 KEYWORD = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key|bearer)[\"' ]{0,2}[=: ]{1,3}[\"']?$"
-PERSONAL = r"(?i)(?:phone|tel|call|fax|mobile|card|visa|account|iban|mail|contact|ssn|passport)[^\n]{0,12}$"
 # A word of its own for whom or whose account a number is, and what tells ids, prices and dates from these.
 OWNER = (
     r"(?i)(?<![a-z])(?:(?:tele|cell)?phone|tel|call|fax|mobile|card|visa|account|iban|e?mail|contact|ssn|passport)(?![a-z])"
@@ -131,10 +137,15 @@ RULES: dict[str, Callable[[Column], Column]] = {
 }
 
 #: What a generator's match has to be as well; others need nothing.
-PROPOSED: dict[str, Callable[[Column], Column]] = {"secret": lambda v: F.regexp_like(v, F.lit("[0-9]"))}
+PROPOSED: dict[str, Callable[[Column], Column]] = {
+    "secret": lambda v: F.regexp_like(v, F.lit("[0-9]")) | F.regexp_like(v, F.lit("[a-z][A-Z].*[a-z][A-Z]")),
+    "number": lambda v: F.length(v) >= 7,
+}
 
 #: Features of a candidate, all small integers. Their values multiply to fewer than 200,000.
-FEATURES = ["rank", "digits", "size", "marks", "left", "right", "letters", "context"]
+FEATURES = ["rank", "digits", "size", "marks", "left", "right", "letters", "cut"]
+#: One in so many texts, by hash, isn't learned from; thresholds are set there.
+HELD_OUT = 5
 
 
 def char_class(char: Column) -> Column:
@@ -166,8 +177,8 @@ def described(span: Column) -> Column:
         .otherwise(3)
     )
     keyed = F.regexp_like(span["before"], F.lit(KEYWORD))
-    secret = span["kind"] == "secret"
-    context = F.when(keyed, 1).when(F.regexp_like(span["before"], F.lit(PERSONAL)), 2).otherwise(0)
+    # letters and digits by turns, as in keys; words with a number behind them change once
+    turns = F.length(F.regexp_replace(F.regexp_replace(value, "[0-9]+", "0"), "[^0]", ""))
     owned = (
         F.regexp_like(span["before"], F.lit(OWNER)) & ~F.regexp_like(span["before"], F.lit(OTHER))
         & ~F.regexp_like(value, F.lit(DATE))
@@ -181,9 +192,9 @@ def described(span: Column) -> Column:
         char_class(F.right(span["before"], F.lit(1))).alias("left"),
         char_class(span["after"]).alias("right"),
         letters.alias("letters"),
-        F.when(secret, context).otherwise(0).alias("context"),
+        F.least(turns, F.lit(4)).alias("cut"),
         base.alias("base"),
-        F.when(secret, keyed).otherwise(owned & ~base).alias("positive"),
+        F.when(span["kind"] == "secret", keyed).otherwise(owned & ~base).alias("positive"),
     )
 
 
@@ -280,10 +291,14 @@ def apply(node: Node, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def boost(x: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> Model:
-    """Trees and thresholds from counts of positive and negative candidates by cell."""
+def boost(
+    x: np.ndarray, positive: np.ndarray, negative: np.ndarray, held_out: tuple[np.ndarray, np.ndarray] | None = None
+) -> Model:
+    """Trees from counts of positive and negative candidates by cell, and thresholds from such counts of texts held out."""
     if not len(x) or not positive.sum():
         return Model(0.0, [], {})
+    held_positive, held_negative = held_out or (positive, negative)
+    held = held_positive + held_negative
     n = positive + negative
     offset = float(np.log((positive.sum() + 1) / (negative.sum() + 1)))
     score = np.full(len(x), offset)
@@ -297,9 +312,13 @@ def boost(x: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> Model:
     for kind in GENERATORS:
         own = x[:, 0] == RANK[kind]
         order = np.argsort(-score[own], kind="stable")
-        values, hits, all_ = score[own][order], np.cumsum(positive[own][order]), np.cumsum(n[own][order])
+        values, hits, all_ = score[own][order], np.cumsum(held_positive[own][order]), np.cumsum(held[own][order])
+        if not len(values) or not hits[-1]:
+            continue
         last = np.append(values[1:] != values[:-1], True)  # candidates of equal score stand or fall together
-        good = last & (hits >= PRECISION * all_) if len(values) else last[:0]
+        shares = hits / np.maximum(all_, 1)
+        surest = shares[last & (hits >= SUREST * hits[-1]) & (hits > 0)].max()
+        good = last & (hits > 0) & (shares >= PRECISION * surest) & (surest >= LABELLED)
         if good.any():
             # a margin keeps equal sums that were added in another order on the same side
             thresholds[kind] = float(values[np.flatnonzero(good)[-1]]) - 1e-6
@@ -309,27 +328,30 @@ def boost(x: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> Model:
 def fit(docs: DataFrame, text: str = "text") -> Model:
     """Boosted on every candidate of the corpus that no base rule has, by counts per cell of features."""
     made, names = with_candidates(docs.select(F.col(f"`{text}`").alias("text")))
+    held = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
+    own = lambda test: F.count_if(test).cast("double")
     cells = (
-        made.select(F.explode(F.filter(names.candidates, lambda c: ~c["base"])).alias("c"))
+        made.select(held.alias("held"), F.explode(F.filter(names.candidates, lambda c: ~c["base"])).alias("c"))
         .groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES])
-        .agg(F.count_if("c.positive").alias("positive"), F.count("*").alias("n"))
+        .agg(
+            own(F.col("c.positive") & ~F.col("held")).alias("positive"), own(~F.col("c.positive") & ~F.col("held")).alias("negative"),
+            own(F.col("c.positive") & F.col("held")).alias("held_positive"), own(~F.col("c.positive") & F.col("held")).alias("held_negative"),
+        )
         .orderBy(*FEATURES)
         .collect()  # one row per cell
-    )
+    )
     x = np.array([[r[f] for f in FEATURES] for r in cells], dtype=np.int64).reshape(-1, len(FEATURES))
-    positive = np.array([r.positive for r in cells], dtype=np.float64)
-    return boost(x, positive, np.array([r.n for r in cells], dtype=np.float64) - positive)
+    counts = [np.array([r[c] for r in cells]) for c in ("positive", "negative", "held_positive", "held_negative")]
+    return boost(x, counts[0], counts[1], (counts[2], counts[3]))
 
 
 def find(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, str, str]:
     """``docs`` with base spans and with all spans, and the names of these columns. Spans are structs of start, rank,
-    end and kind, by start and then kind. Of the candidates, those that a base rule has are left out, digit groups and
-    addresses behind a personal word are taken, and so is what the model accepts."""
+    end and kind, by start and then kind. Of the candidates that no base rule has, those are taken that the model accepts."""
     made, names = with_candidates(docs, text)
     short = lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])
     base = F.transform(names.base, short)
-    example = lambda c: (c["kind"] != "secret") & c["positive"]
-    taken = F.filter(names.candidates, lambda c: ~c["base"] & (example(c) | model.accepts(c)))
+    taken = F.filter(names.candidates, lambda c: ~c["base"] & model.accepts(c))
     every = free_name(made, "_spans")
     made = made.withColumn(every, F.array_sort(F.concat(base, F.transform(taken, short))))
     return made.withColumn(names.base, base).drop(names.candidates), names.base, every

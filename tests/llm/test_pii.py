@@ -113,6 +113,33 @@ def test_whole_runs(spark):
     assert {r.i: r.v for r in made if r.i < 3} == {i: [h] for i, h in enumerate(handles)}
 
 
+def test_planted_keys_without_keywords(spark):
+    """Keys are found by what they look like: hexadecimal ones, base64 with its marks, UUIDs and hyphenated ones."""
+    draw = random.Random(8)
+    pick = lambda letters, n: "".join(draw.choice(letters) for _ in range(n))
+    lower, base64 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    kinds = [
+        lambda: pick(lower, 40), lambda: "/".join(pick(base64, 14) for _ in range(3)) + "==",
+        lambda: "-".join(pick(lower, n) for n in (8, 4, 4, 4, 12)), lambda: f"sk-{pick(base64, 12)}-{pick(base64, 12)}",
+    ]
+    words = lambda n: " ".join(pick("etaoinshrdlu", draw.randrange(2, 9)) for _ in range(n))
+    keyed = [f"{words(9)} {draw.choice(['api_key', 'token', 'secret'])} = {kinds[i % 4]()} {words(5)}" for i in range(400)]
+    bare = [f"{words(9)} {kinds[i % 4]()} {words(5)}" for i in range(40)]
+    clean = [
+        draw.choice([f"{words(4)} {pick('aeinrst', 24)} {words(3)}", f"{words(3)} Jahres-Abschluss-Bericht-20{i % 90 + 10} {words(2)}",
+                     f"{words(3)} {pick('123456789', 16)} {words(3)}", f"{words(2)} docs/part/chapter_{i % 9} {words(3)}"])
+        for i in range(400)
+    ]
+    texts = [*keyed, *bare, *clean]
+    got = base_of(spark.createDataFrame(list(enumerate(texts)), "i long, text string"))
+    found = [any(x.startswith("secret") for x in got[i][1].split(",")) for i in range(len(texts))]
+    recall = sum(found[400:440]) / 40
+    precision = sum(found[:440]) / max(1, sum(found))
+    assert recall >= 0.9 and precision >= 0.95
+    whole = [got[i][1].split(":")[1:] for i in range(400, 440) if found[i]]
+    assert all(texts[i][int(a) : int(b)] == texts[i].split(" ")[9] for (a, b), i in zip(whole, [i for i in range(400, 440) if found[i]]))
+
+
 def test_method_adds_numbers_and_handles(spark):
     """National phone numbers, spaced account numbers and bare handles are found among many base spans, formats that
     stand behind personal words elsewhere too; ids, prices and dates aren't."""
