@@ -4,11 +4,11 @@ A logistic regression on rule statistics and word evidence gives each document t
 document's own evidence. Grouped sums of the probabilities give each host and each path of a host its rate of good
 documents. A host's rate is shrunk towards the rate of all documents, a path's towards its host's, the more the fewer
 documents there are: the strength of either prior is estimated from how the rates of all hosts, and of all paths about
-their hosts, spread (method of moments). The path's rate is the prior odds of its documents, and evidence and prior
-together decide.
+their hosts, spread (method of moments). The path's rate without a document is the prior odds of that document, and evidence
+and prior together decide. The cut is set on the posteriors of labelled documents that nothing was fitted on.
 
-What is fitted is bounded: the regression and the words' weights on at most LABELLED documents, those with the smallest
-hash of doc_id, half for the words and half for the regression. Rates are sums over every document.
+What is fitted is bounded: words' weights, the regression and the cut on at most LABELLED documents, those with the smallest
+hash of doc_id, half for the words and a quarter each for the regression and the cut. Rates are sums over every document.
 """
 
 from __future__ import annotations
@@ -125,28 +125,37 @@ def word_weights(rows: DataFrame) -> dict[bytes, float]:
     return {bytes(r.word): r.weight for r in best.collect()}
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Evidence | None, np.ndarray, np.ndarray]:
-    """The classifier, and the log odds and labels it was fitted on. None if either kind of label is missing."""
+@dataclass
+class Fitted:
+    """A classifier (None if either kind of label is missing), the share of good documents it was fitted on, and the
+    labelled documents kept for the cut: (doc_id, good), at most a quarter of LABELLED or so."""
+
+    model: Evidence | None
+    base: float
+    kept: DataFrame
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Fitted:
     rows = stage(labelled_rows(docs, labels), "labelled")
-    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0
-    words = word_weights(rows.filter(half))
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4))
+    kept = rows.filter(part == 3).select("doc_id", "good")
+    words = word_weights(rows.filter(part < 2))
     names = [f"x{i}" for i in range(11)]
 
     def made(texts: list[bytes | None]) -> dict[str, pa.Array]:
         x = features(texts, words)
         return {n: pa.array(np.ascontiguousarray(x[:, i])) for i, n in enumerate(names)}
 
-    # without their text, the rows are LABELLED / 2 times a dozen numbers
-    table_ = with_text_columns(rows.filter(~half), "text", ", ".join(f"{n} double" for n in names), made)
+    # without their text, the rows are LABELLED / 4 times a dozen numbers
+    table_ = with_text_columns(rows.filter(part == 2), "text", ", ".join(f"{n} double" for n in names), made)
     got = table_.drop("text").orderBy("doc_id").toPandas()
     y = got["good"].to_numpy(dtype=bool)
     if not len(y) or y.all() or not y.any():
-        return None, np.zeros(0), np.zeros(0, dtype=bool)
+        return Fitted(None, 0.5, kept)
     x = got[names].to_numpy(dtype=np.float64)
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
     slope, offset = logistic((x - mean) / scale, y.astype(np.float64))
-    odds = np.clip((x - mean) / scale @ slope + offset, -30, 30)
-    return Evidence(words, mean, scale, slope, offset), odds, y
+    return Fitted(Evidence(words, mean, scale, slope, offset), float(np.clip(y.mean(), 1e-6, 1 - 1e-6)), kept)
 
 
 def strength(groups: DataFrame, n: str, good: str, mean: Column) -> Column:
@@ -163,7 +172,8 @@ def strength(groups: DataFrame, n: str, good: str, mean: Column) -> Column:
 
 
 def path_rates(scored: DataFrame, host: str, path: str, probability: str) -> DataFrame:
-    """host, path, n and rate of every path: its posterior rate of good documents. Nulls are a host or path too."""
+    """host, path, n and rate of every path: its posterior rate of good documents; and what the rate without one of its
+    documents is made from, see ``rate_without``. Nulls are a host or path too."""
     paths = scored.groupBy(F.col(host).alias("host"), F.col(path).alias("path")).agg(
         F.count("*").cast("double").alias("n"), F.sum(probability).alias("good")
     )
@@ -171,15 +181,28 @@ def path_rates(scored: DataFrame, host: str, path: str, probability: str) -> Dat
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
     whole = hosts.agg(F.sum("host_n").alias("n"), F.sum("host_good").alias("good")).first()
     if not whole.n:
-        return paths.select("host", "path", "n", F.lit(0.5).alias("rate"))
+        none = [F.lit(0.5).alias(c) for c in ("rate", *PARTS)]
+        return paths.select("host", "path", "n", *none)
     base = min(max(whole.good / whole.n, 1e-6), 1 - 1e-6)
     of_hosts = hosts.agg(strength(hosts, "host_n", "host_good", F.lit(base)).alias("s")).first().s
     host_rate = (F.col("host_good") + of_hosts * base) / (F.col("host_n") + of_hosts)
-    rated = hosts.select(F.col("host").alias("of_host"), host_rate.alias("host_rate"))
+    rated = hosts.select(F.col("host").alias("of_host"), "host_n", "host_good", host_rate.alias("host_rate"))
     joined = paths.join(rated, F.col("host").eqNullSafe(F.col("of_host"))).drop("of_host")
     of_paths = joined.agg(strength(joined, "n", "good", F.col("host_rate")).alias("s")).first().s
     rate = (F.col("good") + of_paths * F.col("host_rate")) / (F.col("n") + of_paths)
-    return joined.select("host", "path", "n", rate.alias("rate"))
+    whole_ = [F.lit(x).alias(c) for x, c in ((base, "base"), (of_hosts, "of_hosts"), (of_paths, "of_paths"))]
+    return joined.select("host", "path", "n", rate.alias("rate"), "good", "host_n", "host_good", *whole_)
+
+
+#: What a path's rate is made from, besides its number of documents.
+PARTS = ("good", "host_n", "host_good", "base", "of_hosts", "of_paths")
+
+
+def rate_without(parts: Column, probability: Column) -> Column:
+    """The rate of a path without one of its documents, which has this probability; ``parts``: n and PARTS."""
+    host = (parts["host_good"] - probability + parts["of_hosts"] * parts["base"]) / (parts["host_n"] - 1 + parts["of_hosts"])
+    rate = (parts["good"] - probability + parts["of_paths"] * host) / (parts["n"] - 1 + parts["of_paths"])
+    return F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))
 
 
 @dataclass
@@ -202,13 +225,14 @@ class Names:
 def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> tuple[DataFrame, Names]:
     """``docs`` with log odds of the text, rate of the path, posterior probability and verdict, and their names.
 
-    A document is kept if its posterior probability is at least the threshold, which is set on labelled documents.
+    A document is kept if its posterior probability is at least the threshold, which is set on the posteriors of labelled
+    documents that weren't fitted on and loses at most GOOD_LOST of the good ones among them.
     Null and empty texts are classified like any text without words. Without good and bad labels the evidence is 0 and
     everything is kept. Repeated rows are classified alike, and each counts in its path's rate.
     """
     names = Names.free(docs)
-    model, odds, good = fit(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    fitted = fit(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(fitted.model)
 
     def rows(texts: list[bytes | None]) -> dict[str, pa.Array]:
         own = shared.value
@@ -222,22 +246,29 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) ->
     scored = stage(scored, "scored")
     rates = path_rates(scored, names.host, names.path, names.probability)
     total = scored.count()
+    parts = free_name(docs, "_quality_parts")
     keyed = rates.select(
-        F.struct("host", "path").alias("place"), "n", F.col("rate").alias(names.rate)
+        F.struct("host", "path").alias("place"), F.col("n").alias("rows"), F.col("rate").alias(names.rate),
+        F.struct("n", *PARTS).alias(parts),
     )
     both = join_by_frequency(
-        scored, keyed, F.struct(F.col(names.host).alias("host"), F.col(names.path).alias("path")), "place", "n", total,
+        scored, keyed, F.struct(F.col(names.host).alias("host"), F.col(names.path).alias("path")), "place", "rows", total,
         F.col(names.evidence),
-    ).drop("n")
+    ).drop("rows")
     # The classifier's own base rate leaves the evidence and the path's rate takes its place.
-    base = float(np.clip(good.mean(), 1e-6, 1 - 1e-6)) if len(good) else 0.5
-    prior = F.log(F.col(names.rate) / (1 - F.col(names.rate))) - F.lit(float(np.log(base / (1 - base))))
+    own = rate_without(F.col(parts), F.col(names.probability))
+    prior = F.log(own / (1 - own)) - F.lit(float(np.log(fitted.base / (1 - fitted.base))))
     posterior = F.col(names.evidence) + prior
-    cut = -threshold(-odds, good, GOOD_LOST) if len(good) else float("-inf")
+    told = fitted.kept.withColumnRenamed("doc_id", "_of").withColumnRenamed("good", "_good")
+    known = both.join(F.broadcast(told), F.col("doc_id") == F.col("_of")).select(posterior.alias("odds"), "_good")
+    # as many rows as labelled documents are kept for it, or as copies of them
+    rows_ = known.orderBy("odds").toPandas() if fitted.model else None
+    good = rows_["_good"].to_numpy(dtype=bool) if rows_ is not None else np.zeros(0, dtype=bool)
+    cut = -threshold(-rows_["odds"].to_numpy(dtype=np.float64), good, GOOD_LOST) if good.any() else float("-inf")
     out = both.withColumn(names.good, 1 / (1 + F.exp(-posterior))).withColumn(
-        names.kept, F.lit(model is None) | (posterior >= F.lit(cut))
+        names.kept, F.lit(fitted.model is None) | (posterior >= F.lit(cut))
     )
-    return out, names
+    return out.drop(parts), names
 
 
 def by_source(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Names]:
