@@ -45,8 +45,9 @@ def money_sql(df: DataFrame, name: str, lenient: bool = False) -> str:
     cell = quoted(name)
     if not isinstance(df.schema[name].dataType, T.StringType):
         return f"CAST({cell} AS DOUBLE)"
-    # hexadecimal floats are refused: without its x such text is no number
-    plain = f"TRY_CAST(concat(translate({cell}, 'xX', '??'), 'd') AS DOUBLE)"
+    # hexadecimal floats are refused: without its x such text is no number. They begin with a zero, a sign or a space,
+    # so text from '1' on, as most amounts are, needs no copy to be told from them
+    plain = f"TRY_CAST(concat(CASE WHEN {cell} >= '1' THEN {cell} ELSE translate({cell}, 'xX', '??') END, 'd') AS DOUBLE)"
     other = (
         f"TRY_CAST(CASE WHEN {cell} RLIKE r'(?i){_NUMBER}' THEN replace({cell}, '_', '') END"
         " AS DOUBLE)"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adsettle.functions.money import TOLERANCE, net, quoted, settlement
-from adsettle.operators.projection import Projection, select_list
+from adsettle.operators.projection import Projection, select_list, spark_expression
 
 
 def totals(
@@ -88,16 +89,64 @@ def first_per_key(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame
     )
 
 
+_CALL = re.compile(r"\s*(\w+)\s*\((.*)\)\s*$", re.DOTALL)
+#: How partial results of an aggregate are put together.
+_AGAIN = {"any_value": "min", "min": "min", "max": "max", "sum": "sum", "count": "sum"}
+
+
 def unique_keys(df: DataFrame, projections: Projection) -> DataFrame:
-    """Group by every item of the list that is no aggregate, ordered by the first item."""
+    """Group by every item of the list that is no aggregate, ordered by the first item.
+
+    As in ``totals``, an aggregate of text would sort the raw rows. If every aggregate of the list is one whose partial results
+    can be put together, texts are grouping keys first, which hash, and the small result is reduced to the keys.
+    """
     if not projections:
         raise ValueError("the projection list is empty")
-    items = ", ".join(select_list(projections))
+    items = select_list(projections)
+    steps = _two_steps(df, projections)
+    if steps:
+        inner, outer = steps
+        df = df.sparkSession.sql(f"SELECT {', '.join(inner)} FROM {{rows}} GROUP BY ALL", rows=df)
+        items = outer
     return df.sparkSession.sql(
-        f"SELECT {items} FROM {{rows}} GROUP BY ALL ORDER BY 1 ASC NULLS LAST", rows=df
+        f"SELECT {', '.join(items)} FROM {{rows}} GROUP BY ALL ORDER BY 1 ASC NULLS LAST", rows=df
     )
 
 
+def _two_steps(df: DataFrame, projections: Projection) -> tuple[list[str], list[str]] | None:
+    """The items of both steps; None where one step is enough or two can't do it."""
+    inner, outer, texts = [], [], False
+    for i, (expression, alias) in enumerate(projections):
+        item = spark_expression(expression)
+        one = df.selectExpr(item)
+        name = quoted(alias.strip() if alias and alias.strip() else one.columns[0])
+        if one._jdf.queryExecution().analyzed().nodeName() != "Aggregate":
+            inner.append(f"{item} AS _{i}")
+            outer.append(f"_{i} AS {name}")
+            continue
+        call = _CALL.match(expression)
+        again = call and _AGAIN.get(call[1].lower())
+        inside = call[2].strip() if call else ""
+        if not again or inside.upper().startswith("DISTINCT") or _unbalanced(inside):
+            return None
+        # a text goes along whole; other values are aggregated at once
+        text = one.dtypes[0][1] == "string"
+        texts |= text
+        inner.append(f"{spark_expression(inside) if text else item} AS _{i}")
+        outer.append(f"{again}(_{i}) AS {name}")
+    return (inner, outer) if texts else None
+
+
+def _unbalanced(inside: str) -> bool:
+    """Whether the brackets that a call was cut at belong to two calls, as in ``min(a) + max(b)``."""
+    depth = 0
+    for c in inside:
+        depth += (c == "(") - (c == ")")
+        if depth < 0:
+            return True
+    return False
+
+
 def dedup_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row count before and after deduplication, in one pass."""
     per_key = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.count(F.lit(1)).alias("n"))

@@ -136,3 +136,23 @@ def test_large_dimension_is_merge_joined_without_another_shuffle_of_totals(no_br
 def test_full_merge_reuses_the_partitioning_of_the_totals(no_broadcast):
     text = plan_of(contract.queries()["week_fanout"](no_broadcast, FOLDER))
     assert "FullOuter" in text
+
+
+def test_merged_totals_are_not_exchanged_again(no_broadcast):
+    """Spend and recharge take their owner where their totals lie; nothing above the totals moves rows."""
+    for name in ("week_three_source", "week_spend_recharge"):
+        lines = plan_of(contract.queries()[name](no_broadcast, FOLDER)).splitlines()
+        merge = next(i for i, line in enumerate(lines) if "FullOuter" in line)
+        assert not any("Exchange" in line for line in lines[:merge])
+        # two for the totals of each side (three sides with the wallet), two for the dimension, which is read once
+        exchanges = sum("Exchange hashpartitioning" in line and "Reused" not in line for line in lines)
+        assert exchanges == (8 if name == "week_three_source" else 6)
+
+
+def test_pages_exchange_rows_once(spark, tmp_path):
+    """Of a paged write, the range sort is the only exchange of rows; the pages are cut from its files."""
+    from adsettle.operators.pages import counted_pages
+
+    df = spark.read.parquet(f"{FOLDER}/lineitem.parquet").select("l_orderkey", "l_extendedprice")
+    paged, rows, pages = counted_pages(df, 500, ["l_extendedprice"])
+    assert "Exchange" not in plan_of(paged.sortWithinPartitions("page", "row_index")) and pages == -(-rows // 500)

@@ -36,6 +36,30 @@ def test_unique_keys_orders_null_last(spark):
     assert [tuple(r) for r in out.collect()] == [("a", "x", 1), ("b", "y", 2), (None, "n", 1)]
 
 
+def test_unique_keys_sorts_no_raw_rows(spark):
+    """Texts are grouped by first; lists that can't be put together from parts are done in one step, with equal results."""
+    rows = [(f"k{i % 3}", f"v{i % 7}", i, None if i % 2 else f"w{i % 5}") for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, v string, n long, w string")
+    listed = [("k", None), ("any_value(w)", "w"), ("max(\"v\")", None), ("sum(n)", "total"), ("COUNT(*)", "c"), ("count(w)", "cw")]
+    out = unique_keys(df, listed)
+    assert out.columns == ["k", "w", "max(v)", "total", "c", "cw"]
+    of = lambda k: [r for r in rows if r[0] == k]
+    assert [tuple(r) for r in out.collect()] == [
+        (k, min(r[3] for r in of(k) if r[3]), max(r[1] for r in of(k)), sum(r[2] for r in of(k)), len(of(k)), sum(r[3] is not None for r in of(k)))
+        for k in ("k0", "k1", "k2")
+    ]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "HashAggregate" in [x for x in lines if "Aggregate(" in x][-1]
+    for other in ("count(DISTINCT w)", "avg(n)", "max(n) - min(n)", "sum(n) / count(n)", "concat(min(v), max(v))"):
+        both = unique_keys(df, [("k", None), ("min(v)", "v"), (other, "x")])
+        one = spark.sql(f"SELECT k, min(v) AS v, {other} AS x FROM {{df}} GROUP BY k ORDER BY 1", df=df)
+        assert both.collect() == one.collect()
+
+
 def test_labels_come_from_different_rows(spark):
     df = spark.createDataFrame(
         [("k", 1.0, None, "b"), ("k", 2.0, "a", None), (None, 5.0, None, None)],
