@@ -38,6 +38,29 @@ def test_boilerplate():
     assert text(page).split("\n\n") == ["Title & more", "One bold, two three", "Four five", "a", "b", "c", "d"]
 
 
+def test_names_with_a_fixed_meaning():
+    """Only whole names mark boilerplate; none outside of an article has a say about it; math stays."""
+    body = "<article><div class='entry-header'><h1>Title</h1></div><p>Body</p><div class=social-history><p>More</p></div></article>"
+    want = "Title\n\nBody\n\nMore"
+    assert text(f'<body><div class="site no-sidebar">{body}</div></body>') == want
+    assert text(f"<body><div class=sidebar id=menu>{body}</div></body>") == want
+    assert "x" in text("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>")
+    links = "<article><p>Read</p><ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul></article>"
+    assert text(links) == "Read\n\nOne\n\nTwo"
+    for name in ("site-header", "cookie-notice", "share-buttons", "commentThread", "primary sidebar"):
+        assert text(f"<body><div class='{name}'>gone</div><p>here</p></body>") == "here"
+
+
+def test_a_megabyte_of_open_elements():
+    import tracemalloc
+
+    tracemalloc.start()
+    page = "<div class=a>x" * 70_000
+    assert T.main_text(page, 9, [{"once": True, "tokens": [1, 2]}]).count("x") == 70_000
+    assert tracemalloc.get_traced_memory()[1] < 200_000_000
+    tracemalloc.stop()
+
+
 def test_broken_markup():
     assert text("<article><p>a < b &lt; c &am <b>d") == "a < b < c &am d"
     assert text("<article><p>x</p><a href=\"/y") == "x"
@@ -71,6 +94,49 @@ def test_template_of_a_host(spark):
     assert others[100].split("\n\n")[:2] == ["Always here", "Story 3"] and others[102] == ""
 
 
+def plain_walk(tokens, classes):
+    """Runs by the definition: a class's tokens k times in one order, each run whole in one gap of every run around it."""
+    out = {}
+    for i, own in enumerate(classes):
+        at = [j for j, t in enumerate(tokens) if t in own]
+        runs = [at[j : j + len(own)] for j in range(0, len(at), len(own))]
+        orders = {tuple(tokens[j] for j in run) for run in runs}
+        if at:
+            out[i] = (orders.pop() if len(orders) == 1 and len(at) % len(own) == 0 and all(len(set(tokens[j] for j in r)) == len(own) for r in runs) else None, runs)
+    return out
+
+
+def test_classes_nest():
+    outer, inner = [1, 2, 3], [7, 8]
+    of, sizes = T.numbered([{"tokens": outer}, {"tokens": inner}])
+    found, gaps = T.walk([1, 5, 2, 7, 5, 8, 7, 8, 3], of, sizes)
+    assert found == {0: [(1, 2, 3), {(-1, 0)}], 1: [(7, 8), {(0, 2)}]} and gaps[1] == (0, 1) and gaps[4] == (1, 1)
+    crossed, _ = T.walk([1, 7, 2, 8, 3], of, sizes)
+    assert crossed[0][0] == (1, 2, 3) and crossed[1][0] is None
+    assert T.walk([1, 3, 2, 1, 2, 3], of, sizes)[0][0][0] is None
+    assert len(T.walk([7, 8, 1, 7, 8, 2, 3], of, sizes)[0][1][1]) == 2
+    for tokens in ([1, 2, 3, 1, 2, 3], [3, 1, 2], [1, 2], [1, 1, 2, 3], [7, 8, 8, 7]):
+        want = plain_walk(tokens, [outer, inner])
+        assert {k: v[0] for k, v in T.walk(tokens, of, sizes)[0].items()} == {k: v[0] for k, v in want.items()}
+
+
+def test_classes_decide_and_not_single_tokens(spark):
+    """A sentence in the text of nearly all pages shares its pages with no other token, so it is no template, though a rule
+    for each token would take it for one; a notice with its own element, in as many pages, is. Tokens that stand in another
+    order on every page are no class."""
+    rows = []
+    for i in range(20):
+        lead = "<p>A common sentence.</p>" if i % 10 else ""
+        notice = "<div class=x1><p class=y1>Please note this.</p></div>" if i % 10 != 3 else ""
+        pair = ["<p class=p1>Alpha</p>", "<p class=p2>Beta</p>"]
+        rows.append((i, f"https://rule.example/{i}", f"<body><div class=text><p>Own {i}</p>{lead}<p>More {i}</p>{''.join(pair[:: 1 if i % 2 else -1])}</div>{notice}</body>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in T.extract(pages).collect():
+        lines = r.text.split("\n\n")
+        assert ("A common sentence." in lines) == (r.page_id % 10 != 0)
+        assert "Please note this." not in lines and f"Own {r.page_id}" in lines and {"Alpha", "Beta"} <= set(lines)
+
+
 def test_copies_keep_their_text(spark):
     """Pages that are all copies of one another aren't taken for a template."""
     rows = [(i, f"https://copy.example/{i}", "<body><p>Same text</p></body>") for i in range(6)]
