@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from adsettle.operators.totals import counted
 from adsettle.session import qualified
 
 _LIST = re.compile(r"_runs-(\d+)\.json")
@@ -64,8 +65,9 @@ class _Table:
 
     def write(self, df: DataFrame, run: str) -> dict:
         folder = f"run-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{folder}")
-        return {"run": run, "folder": folder, "schema": json.loads(df.schema.json())}
+        rows, seen = counted(df)
+        rows.write.parquet(f"{self.path}/{folder}")
+        return {"run": run, "folder": folder, "rows": seen.get["rows"], "schema": json.loads(df.schema.json())}
 
 
 def append_run(df: DataFrame, path: str, run: str) -> bool:
@@ -109,6 +111,11 @@ def replace_runs(df: DataFrame, path: str, run: str) -> None:
             table.store.delete(table.at(f"_runs-{earlier}.json"), False)
 
 
+def run_counts(spark: SparkSession, path: str) -> dict[str, int]:
+    """The rows of each run that counts, as counted when it was written; no job."""
+    return {r["run"]: r["rows"] for r in _Table(spark, path).latest()[1]}
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """The rows of all runs that count, with their run's name in ``run``."""
     table = _Table(spark, path)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adsettle.operators.projection import HeaderError, fields
-from adsettle.sinks.runs import _Table, append_run, read_runs, replace_runs
+from adsettle.sinks.runs import _Table, append_run, read_runs, replace_runs, run_counts
 from adsettle.sources.landed import bind_landed, signatures
 from tests.test_source import jobs
 
@@ -22,6 +22,8 @@ def test_runs(spark, tmp_path):
     assert append_run(a, path, "a") and append_run(b, path, "b")
     assert not append_run(b, path, "b")
     both = read_runs(spark, path)
+    before = jobs(spark)
+    assert run_counts(spark, path) == {"a": 1, "b": 1} and jobs(spark) == before
     assert both.columns == ["账户ID", "v", "run"] and rows(both) == [("1", 2.0, "a"), ("2", 3.0, "b")]
     with pytest.raises(ValueError, match="2 columns"):
         append_run(a.select("v"), path, "c")
