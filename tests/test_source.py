@@ -104,7 +104,7 @@ def test_notes(spark, tmp_path):
     notes = [(r._path[-6:], json.loads(r._note)) for r in sorted(rows, key=lambda r: (r._path, r._note or ""), reverse=True) if r._note]
     notes.sort(key=lambda n: n[0])
     assert notes[0] == ("a.xlsx", {"rows": 4, "bad": {"v": [2, "1,5"]}}) and notes[1] == ("a.xlsx", {"rows": 0, "bad": {}})
-    assert "missing headers: v" in notes[2][1]["error"] and "zip" in notes[3][1]["error"]
+    assert "missing headers: v" in notes[2][1]["error"] and "c.xlsx: " in notes[3][1]["error"]
 
 
 @pytest.mark.parametrize("text, number", [
