@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from adsettle.llm.base import FEW_ROWS, query, table
 from adsettle.session import stage, staging_path
 
-#: Bytes of a block that a record holds; the longest fifth or so of pages like the given ones is written in segments.
-SEGMENT = 4 * 1024
+#: Bytes of a block that a record holds; the longest tenth or so of pages like the given ones is written in segments.
+SEGMENT = 8 * 1024
 CHUNK = 1024
 #: Segments of a record at most, or somewhat more where a version stands at a cut; longer blocks have longer ones.
 SEGMENTS = 64
