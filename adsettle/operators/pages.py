@@ -7,6 +7,7 @@ import sys
 from collections.abc import Iterator, Sequence
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -100,9 +101,9 @@ class PageReader(DataSourceReader):
                 for batch in self._slice(files, file, first, rows):
                     n = len(batch)
                     made = {
-                        "row_index": pa.array(range(index, index + n), pa.int64()),
-                        "page": pa.array([page] * n, pa.int64()),
-                        "pages": pa.array([pages] * n, pa.int64()),
+                        "row_index": pa.array(np.arange(index, index + n)),
+                        "page": pa.array(np.full(n, page)),
+                        "pages": pa.array(np.full(n, pages)),
                     }
                     index += n
                     data = [
