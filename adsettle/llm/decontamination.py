@@ -10,8 +10,9 @@ m = 2 n s / (1 + s) of them (counted with repeats) for similarity s, so fewer th
 the item rule a window out. This loses nothing. A text shorter than an item is one window as a whole; of n' shingles it
 must share (n + n') s / (1 + s).
 
-Items are processed in blocks of at most BLOCK_WORDS words, each block being one pass over the documents, so that what
-tasks hold of the benchmark is bounded however large it is.
+Items are processed in blocks of about BLOCK_WORDS words, so that what the driver and a task hold of the benchmark is
+bounded however large it is. A benchmark of one block is one pass. Of several, one block after the other is sent out,
+sought in the texts and forgotten; only what it finds is kept, by row.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsettle.llm.base import free_name, query, table, with_text_columns
+from adsettle.session import stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -202,10 +205,11 @@ def item_blocks(benchmark: DataFrame, most_words: int = BLOCK_WORDS) -> list[Dat
     return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
 
 
-def load(items: DataFrame) -> Items:
+def load(items: DataFrame) -> tuple[list[int], list[list[bytes]]]:
+    """Ids and words of a block's items."""
     rows = [(r.item_id, words_of(r.text.encode())) for r in items.collect()]  # at most a block
     rows = sorted((i, w) for i, w in rows if w)
-    return Items([i for i, _ in rows], [w for _, w in rows])
+    return [i for i, _ in rows], [w for _, w in rows]
 
 
 FOUND = "array<struct<item_id:long,similarity:double,start:int,n_words:int>>"
@@ -215,19 +219,27 @@ FOUND_TYPE = pa.list_(
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, name: str) -> DataFrame:
-    """``docs`` with the items found in each text, as an array under ``name`` that is empty for clean rows. Of an item
-    found more than once, the most similar window is given, the first of equals."""
-    made, names = docs, []
-    for at, block in enumerate(item_blocks(benchmark)):
-        items = load(block)
-        if not items.ids:
-            continue
-        shared = docs.sparkSession.sparkContext.broadcast((items.ids, items.words))
-        names.append(free_name(made, f"{name}_{at}"))
-        made = with_text_columns(made, "text", f"`{names[-1]}` {FOUND}", searcher(shared, names[-1]))
-    empty = F.array().cast(FOUND)
-    together = reduce(F.concat, [F.col(x) for x in names], empty) if names else empty
-    return made.withColumn(name, together).drop(*names)
+    """``docs`` with the items found in each text, as an array under ``name`` that is empty for clean rows, by item. Of
+    an item found more than once, the most similar window is given, the first of equals."""
+    blocks = item_blocks(benchmark)
+    if len(blocks) == 1:
+        return search_block(docs, blocks[0], name)[0]
+    row, found = free_name(docs, "_row"), free_name(docs, "_found")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
+    texts, pieces = numbered.select(row, "text"), []
+    for block in blocks:
+        searched, shared = search_block(texts, block, found)
+        pieces.append(stage(searched.filter(F.size(found) > 0).select(row, found), "leaks"))
+        shared.destroy()  # the next block takes its place
+    by_row = reduce(DataFrame.union, pieces).groupBy(row).agg(F.flatten(F.collect_list(found)).alias(found))
+    leaks = F.coalesce(F.array_sort(found), F.array().cast(FOUND))
+    return numbered.join(by_row, row, "left").select(*[F.col(f"`{c}`") for c in docs.columns], leaks.alias(name))
+
+
+def search_block(docs: DataFrame, block: DataFrame, name: str) -> tuple[DataFrame, Broadcast]:
+    """``docs`` with what is found of one block, and the block as sent to the tasks."""
+    shared = docs.sparkSession.sparkContext.broadcast(load(block))
+    return with_text_columns(docs, "text", f"`{name}` {FOUND}", searcher(shared, name)), shared
 
 
 def searcher(shared, name):

@@ -222,6 +222,26 @@ def test_texts_shorter_than_an_item(spark):
     assert [x.similarity for x in got[fifty[0]]] == pytest.approx([45 / 46])
 
 
+@pytest.mark.parametrize("most", [10**6, 3])
+def test_decontamination_of_odd_tables(spark, odd, nothing, given, monkeypatch, most):
+    """Nulls, long texts, repeated rows, empty tables and clashing columns, with one block of items and with many."""
+    monkeypatch.setattr(decontamination.item_blocks, "__defaults__", (most,))
+    item = "one two three four five six seven eight"
+    long = "x y z " * 100_000 + item + " z" * 100_000
+    rows = [(6, long, "en", "a", 1), (7, item, None, None, None), (7, item, None, None, None), (None, item + " nine", "en", "a", 1)]
+    held = spark.createDataFrame(rows, COLUMNS)
+    docs = odd.unionByName(held, allowMissingColumns=True).selectExpr("*", "1 AS leaks", "2 AS _row", "3 AS _found")
+    bench = spark.createDataFrame([(1, item), (2, "no such item in any text at all"), (1, item), (3, None), (4, "")], "item_id long, text string")
+    out = decontamination.with_leaks(docs, bench, "_leaks_0")
+    assert out.columns == [*docs.columns, "_leaks_0"] and out.count() == len(ODD) + len(rows)
+    hit = sorted((r.text, [(x.item_id, x.start) for x in r["_leaks_0"]]) for r in out.collect() if r["_leaks_0"])
+    assert hit == sorted([(long, [(1, 300_000)]), *[(t, [(1, 0)]) for t in (item, item, item + " nine")]])
+    kept = decontamination.decontaminate(docs, bench)
+    assert kept.columns == docs.columns and kept.count() == len(ODD)
+    assert decontamination.decontaminate(nothing, bench).collect() == []
+    assert decontamination.decontaminate(docs, given["benchmark"].limit(0)).count() == docs.count()
+
+
 def test_languages(given, odd, nothing):
     docs = given["documents"].select("doc_id", "text", "lang")
     model = languages.train(docs)
