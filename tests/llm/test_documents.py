@@ -157,6 +157,60 @@ def test_wrapped_licenses():
     assert licenses.scan(prefixed, ordered)[5:] == ("mit", 1.0)
 
 
+def test_words_of_a_notice_without_its_order():
+    """Sentences that hold a notice's words are no notice; a license of similar words isn't another."""
+    ordered = licenses.Templates.order(licenses.TEMPLATES, {})
+    for text in (
+        "He released the film under protest, and the MIT press got a license.",
+        "This work on the shop was dedicated to those whom the public knows; eminent domain is another matter.",
+        "License the use in binary forms and source or without, with modification: redistribution and permitted are",
+    ):
+        assert licenses.scan(text.encode(), ordered)[4:] == ("", "", 0.0)
+    boost = next(text for label, text in licenses.TEMPLATES if label == "bsl-1.0")
+    assert licenses.scan(boost.encode(), ordered)[5] == "bsl-1.0"
+    for label, text in licenses.TEMPLATES:
+        assert label in licenses.scan(text.encode(), ordered)[5].split(",")
+
+
+def test_license_blocks_by_brute_force():
+    """Every line, paragraph and window of the template's size, tried one by one."""
+    draw = random.Random(12)
+    templates = [("a", "one two three four five"), ("b", "one two one three"), ("c", " ".join(f"w{i % 11}" for i in range(14)))]
+    vocabulary = sorted({w for _, t in templates for w in t.split()}) + ["x"]
+    ordered = licenses.Templates.order(templates, {b"one": 3, b"w1": 1})
+    pairs = lambda w: set(zip(w, w[1:]))
+
+    def plain(text: str) -> dict[str, float]:
+        lines = [x.split() for x in text.split("\n")]
+        paragraphs = [p.split() for p in re.split(r"\n\s*\n", text)]
+        words, best = text.split(), {}
+        for label, template in templates:
+            own = template.split()
+            windows = [words[i : i + len(own)] for i in range(max(1, len(words) - len(own) + 1))]
+            for block in lines + paragraphs + windows:
+                share = len(set(own) & set(block)) / len(set(own))
+                order = len(pairs(own) & pairs(block)) / len(pairs(own))
+                if share >= licenses.THRESHOLD - 1e-9 and order >= licenses.IN_ORDER - 1e-9:
+                    best[label] = max(share, best.get(label, 0.0))
+        return best
+
+    seen = Counter()
+    for _ in range(4_000):
+        parts = []
+        for _ in range(draw.randrange(1, 6)):
+            words = draw.choice(templates)[1].split() if draw.random() < 0.6 else draw.choices(vocabulary, k=4)
+            if draw.random() < 0.3:
+                words[draw.randrange(len(words))] = draw.choice(vocabulary)
+            at = draw.randrange(len(words) + 1)
+            parts += [*words[:at], draw.choice(["", "\n", "\n\n", "x"]), *words[at:], draw.choice(["", "\n", "\n\n"])]
+        text = " ".join(parts)
+        want = plain(text)
+        got = licenses.scan(text.encode(), ordered)
+        assert (got[5], got[6]) == (",".join(sorted(want)), pytest.approx(max(want.values(), default=0.0)))
+        seen.update(want)
+    assert len(seen) == 3 and min(seen.values()) > 100
+
+
 def test_decontamination(spark, given, nothing):
     items = {r.item_id: r.text for r in given["benchmark"].collect()}
     docs = given["documents"]
