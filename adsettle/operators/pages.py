@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import sys
 from collections.abc import Iterator, Sequence
-from itertools import groupby
+from itertools import accumulate, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -209,14 +209,35 @@ def paged(df: DataFrame, path: str, spans: Sequence[dict], cap: int, by: Sequenc
 
 
 def with_pages(df: DataFrame, cap: int, order: Sequence[Column | str] = ()) -> DataFrame:
-    """Add ``row_index`` (from 0) and ``page`` (from 1), ``cap`` rows to a page."""
-    return counted_pages(df, cap, order)[0]
+    """Add ``row_index`` (from 0) and ``page`` (from 1), ``cap`` rows to a page.
+
+    Rows are put in order and counted as by ``counted_pages``. A page needn't lie in one task here, so its number is
+    computed from a row's place in its file and the rows of the files before; columns that aren't asked for aren't read.
+    """
+    if cap < 1:
+        raise ValueError("a page holds at least one row")
+    path = sorted_files(df, PAGE_ROWS, order)
+    spans = spans_of(df, path)
+    # one short row per written file, of which a task writes one
+    before = pa.table(
+        {
+            "_file": pa.array([s["_file"].rpartition("/")[2] for s in spans], pa.string()),
+            "_before": pa.array(accumulate([0, *(s["_rows"] for s in spans)][: len(spans)]), pa.int64()),
+        }
+    )
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    index = F.col("_before") + F.col("_at")
+    return (
+        rows.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        .join(F.broadcast(df.sparkSession.createDataFrame(before)), "_file")
+        .select(*[F.col(quoted(c)) for c in df.columns], index.alias("row_index"), (F.floor(index / cap) + 1).alias("page"))
+    )
 
 
 def counted_pages(
     df: DataFrame, cap: int, order: Sequence[Column | str] = (), most_tasks: int = MOST_TASKS
 ) -> tuple[DataFrame, int, int]:
-    """``with_pages``, and how many rows and pages there are. Each page lies whole in one partition, in row order.
+    """As ``with_pages``, each page whole in one partition and in row order; and how many rows and pages there are.
 
     With ``order`` the index follows the global order: a range sort, never a one-partition window. Rows are written
     in that order once, their files are counted, and a page is a slice of these files.
