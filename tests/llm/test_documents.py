@@ -67,6 +67,57 @@ def test_rules(given, odd, nothing):
     assert free.filter("kept = base_failed").isEmpty()
 
 
+def test_forest_by_brute_force():
+    """Each path walked node by node, each cut of the threshold tried; what lies apart has the shortest paths."""
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    rows = np.vstack([draw.normal(size=(600, 3)), draw.normal(size=(6, 3)) + 9])
+    rows[:40, 1] = 0.5  # ties
+    forest = anomaly.Forest.grow(rows, trees=20, sample=64, seed=5)
+
+    def average(n):
+        return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+
+    def walked(row, tree):
+        node = depth = 0
+        while forest.feature[tree, node] >= 0:
+            node = 2 * node + (2 if row[forest.feature[tree, node]] > forest.cut[tree, node] else 1)
+            depth += 1
+        assert forest.length[tree, node] >= depth
+        return forest.length[tree, node]
+
+    scores = forest.score(rows)
+    plain = [2 ** -(np.mean([walked(r, t) for t in range(20)]) / average(64)) for r in rows]
+    assert scores == pytest.approx(plain) and anomaly.mean_path([0, 1, 2, 9]) == pytest.approx([average(n) for n in (0, 1, 2, 9)])
+    assert set(np.argsort(scores)[-6:]) == set(range(600, 606))
+    assert list(anomaly.Forest.grow(np.ones((5, 2)), trees=2).score(np.ones((2, 2)))) == pytest.approx([0.5, 0.5])
+
+    good = np.arange(len(rows)) < 600
+    for lost in (0.0, 0.01, 0.2):
+        gain = lambda c: (scores[~good] > c).mean() - (scores[good] > c).mean()
+        allowed = [c for c in scores if (scores[good] > c).mean() <= lost]
+        cut = anomaly.threshold(scores, good, lost)
+        assert cut in allowed and gain(cut) == pytest.approx(max(map(gain, allowed)))
+    assert anomaly.threshold(scores, ~good & good) == float("inf")
+
+
+def test_rules_and_classifier_on_documents_held_out(given):
+    """Fitted on two thirds of the labels, judged on the rest."""
+    from pyspark.sql import functions as F
+
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    learned, held = given["labels"].filter(~third), {r.doc_id: r for r in given["labels"].filter(third).collect()}
+    out = {r.doc_id: r for r in anomaly.quality_rules(given["documents"], learned).collect()}
+    good = [out[i].kept for i, r in held.items() if r.quality and not out[i].base_failed]
+    bad = [out[i].kept for i, r in held.items() if not r.quality]
+    assert len(good) > 50 and sum(good) >= 0.95 * len(good) and sum(bad) <= 0.2 * len(bad)
+    kept = {r.doc_id for r in bayes.good_documents(given["documents"], learned).collect()}
+    good = [i in kept for i, r in held.items() if r.quality and not r.toxic]
+    bad = [i in kept for i, r in held.items() if not r.quality]
+    assert sum(good) >= 0.95 * len(good) and sum(bad) <= 0.3 * len(bad)
+
+
 def test_classifier(given, odd, nothing):
     kept = {r.doc_id for r in bayes.good_documents(given["documents"], given["labels"]).collect()}
     labels = {r.doc_id: r for r in given["labels"].collect()}
