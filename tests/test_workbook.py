@@ -198,3 +198,86 @@ def test_pages_and_books_agree(spark, tmp_path):
     assert [r["count"] for r in sizes] == [1000, 1000, 500]
     report = spark.read.parquet(str(tmp_path / "_report_r")).orderBy("path")
     assert [r["rows"] for r in report.collect()] == [1000, 1000, 500]
+
+
+def test_plain_rows_need_no_parser(spark, tmp_path, monkeypatch):
+    """Rows that the sink wrote are cut into columns, with the texts that a parser of XML finds."""
+    import pyarrow as pa
+
+    from adsettle.sinks.workbook import row_texts
+    from adsettle.sources import cells
+
+    texts = ["a & b", "<c>", "x\r\ny", " edge ", "", None, "1&lt;2", "客户", "\x01bell", "]]>", '"q"', "c"] * 2000
+    numbers = [1.5, None, float("nan"), -2.0, 1e22, 7.0] * 4000
+    columns = [pa.array(texts), pa.array(numbers), pa.array(range(24_000)), pa.nulls(24_000, pa.string())]
+    rows = list(zip(*(c.to_pylist() for c in columns)))
+    with BookWriter(str(tmp_path / "a.xlsx")).open() as writer:
+        with writer.sheet("blocks", ["t", "n", "i", "none"]) as add:
+            text, starts = row_texts(columns, 24_000)
+            add.add(text[starts[0] : starts[-1]], 24_000)
+        with writer.sheet("rows", ["t", "n", "i", "none"]) as add:
+            for row in rows:
+                add(row)
+    found = []
+    with open_workbook(str(tmp_path / "a.xlsx")) as made:
+        for spaced in (False, True):
+            for _, member in sheet_parts(made):
+                text = made.read(member)
+                if spaced:  # not plain any more
+                    text = text.replace(b"</row>", b" </row>")
+                with monkeypatch.context() as patched:
+                    if not spaced:
+                        seen = []
+                        patched.setattr(cells, "text_of", lambda item: seen.append(item))
+                    table = cells.Table(__import__("io").BytesIO(text), cells.SharedStrings(made))
+                    assert table.headers == ["t", "n", "i", "none"]
+                    found.append(list(table.rows()))
+                    if not spaced:
+                        assert not seen
+    assert len(found[0]) == 24_000 and found[0] == found[1] == found[2] == found[3]
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        "<row><c><v>1</v></c></row><row><c/><c/></row>", "<row> <c><v>1</v></c><c/></row>", "<row><c/> <c/></row>",
+        "<row><c><v>1</v></c></row> <row><c/></row>", "<row><c><v>&#65;</v></c></row>", "<row><c><v>1</v></c> </row>",
+        "<row><!-- x --><c/></row>", '<row><c t="s"><v>0</v></c></row>',
+    ],
+)
+def test_other_rows_are_parsed(rows):
+    from adsettle.sources.cells import plain_block
+
+    assert plain_block(rows.encode()) is None
+
+
+def test_staged_pages_are_read_in_small_groups(spark):
+    """However long a page is, a task holds few rows of it."""
+    from pyarrow import parquet
+
+    from adsettle.operators.pages import GROUP_ROWS, sorted_files
+
+    path = sorted_files(spark.range(0, 70_000, 1, 1), 1_000_000).removeprefix("file:")
+    sizes = []
+    for file in __import__("pathlib").Path(path).glob("*.parquet"):
+        metadata = parquet.ParquetFile(file).metadata
+        sizes += [metadata.row_group(i).num_rows for i in range(metadata.num_row_groups)]
+    assert sum(sizes) == 70_000 and max(sizes) <= GROUP_ROWS
+
+
+def test_rewritten_result_is_cut_by_position(spark, tmp_path, monkeypatch):
+    """Half of a result isn't taken by a limit, which brings it to one task."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from catalog.batches import workbook_rewritten
+
+    orders = spark.range(1900).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "double(id % 90) AS o_totalprice",
+        "timestamp_ntz'2024-01-01 00:00:00' AS o_orderdate", "'x' AS o_orderpriority",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(DataFrame, "limit", None)
+    rows = workbook_rewritten(spark, str(tmp_path)).collect()
+    assert len(rows) == 950 and {r.file for r in rows} == {f"orders_part{i}.xlsx" for i in (1, 2, 3)}
+    first = sorted((r.amount, -int(r.id)) for r in rows)
+    assert first == sorted((float(i % 90), -i) for i in range(1900))[-950:]
