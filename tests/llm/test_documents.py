@@ -385,3 +385,36 @@ def test_pipeline(spark, given):
     ids = [r.doc_id for r in out]
     assert len(ids) == len(set(ids)) and 0.5 * given["documents"].count() < len(ids)
     assert all(r.n_tokens == len(r.ids) for r in out)
+
+
+def test_threshold_of_a_table(spark):
+    """As that of arrays, whatever the number of rows and of bins."""
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    for bad in (0.0, 0.1):
+        scores, good = np.round(draw.random(4000), 3), draw.random(4000) >= bad
+        table = spark.createDataFrame(
+            [(float(s), bool(g)) for s, g in zip(scores, good)], "anomaly_score double, good boolean"
+        )
+        for lost in (0.0, 0.005, 0.2):
+            assert anomaly.table_threshold(table, lost) == anomaly.threshold(scores, good, lost)
+    assert anomaly.table_threshold(table.filter("NOT good")) == float("inf")
+
+
+def test_forest_and_threshold_are_of_all_labelled_rows(given, monkeypatch):
+    """Few rows draw the cuts; leaves and threshold count every one."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(anomaly, "DRAWN", 60)
+    counted = anomaly.rule_statistics(given["documents"])
+    verdict = anomaly.fit(counted, given["labels"])
+    rows = counted.join(anomaly.labelled_rows(given["labels"]), "doc_id").filter(
+        (F.col("n_words") >= 50) & (100 * F.col("n_repeat_words") <= 50 * F.col("n_words"))
+    )
+    good = rows.filter("good")
+    assert good.count() > 60
+    assert set(anomaly.leaf_counts(good, verdict.forest).sum(axis=1)) == {good.count()}
+    found = anomaly.scored(rows, verdict.forest).toPandas()
+    assert verdict.most == anomaly.threshold(found.anomaly_score.to_numpy(), found.good.to_numpy(dtype=bool))
