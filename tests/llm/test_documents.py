@@ -418,3 +418,14 @@ def test_forest_and_threshold_are_of_all_labelled_rows(given, monkeypatch):
     assert set(anomaly.leaf_counts(good, verdict.forest).sum(axis=1)) == {good.count()}
     found = anomaly.scored(rows, verdict.forest).toPandas()
     assert verdict.most == anomaly.threshold(found.anomaly_score.to_numpy(), found.good.to_numpy(dtype=bool))
+
+
+def test_drawn_rows_are_those_of_the_smallest_hash(spark):
+    """Few rows beyond them are put in order."""
+    from pyspark.sql import functions as F
+
+    names = list(anomaly.Stats._fields)
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), *[(F.col("id") + i).alias(n) for i, n in enumerate(names)])
+    for most in (1, 700, 5000):
+        first = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select(*names).toPandas().to_numpy()
+        assert (anomaly.drawn(rows, most) == anomaly.shares(first)).all()
