@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adsettle.session import stage
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -71,6 +73,19 @@ def with_text_columns(df: DataFrame, text: str, added: str, rows: Rows) -> DataF
     return df.mapInArrow(run, f"{fields}, {added}")
 
 
+def side(df: DataFrame, rows: int, name: str | None = None) -> DataFrame:
+    """``df``, which has ``rows`` rows at most, as a side of a join: broadcast if they are few by count, else merged. It
+    is written under ``name`` for that, or is a written table already.
+
+    Spark's own choice goes by the size of the files below, which says little of rows that are exploded or hold the same
+    few values; it would send them to the driver. Written, the side is a plain exchange, so that Spark can split the rows
+    of a hot key on the other one.
+    """
+    if rows <= FEW_ROWS:
+        return F.broadcast(df)
+    return (stage(df, name) if name else df).hint("merge")
+
+
 def join_by_frequency(
     rows: DataFrame, groups: DataFrame, key: Column, group_key: str, n: str, total: int, spread: Column
 ) -> DataFrame:
@@ -105,7 +120,8 @@ def join_by_frequency(
         F.when(F.col(served).isNull(), key).alias("key"),
     )
     first = rows.join(F.broadcast(hot), key.eqNullSafe(F.col(hot_key)), "left").drop(hot_key)
-    both = first.withColumn(mine, own).join(cold, F.col(mine) == F.col(cold_key), "left")
+    # too many for a broadcast by the measure above, whatever Spark makes of the size of their files
+    both = first.withColumn(mine, own).join(cold.hint("merge"), F.col(mine) == F.col(cold_key), "left")
     return both.select(
         *[F.col(f"`{c}`") for c in rows.columns],
         *[F.coalesce(F.col(served)[v], F.col(found)[v]).alias(v) for v in values],

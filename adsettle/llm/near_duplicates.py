@@ -12,6 +12,9 @@ A table entry that more than CROWD fingerprints share would cost the square of i
 another way, exactly and in linear work: each is put down at every point within 2 bits. Fingerprints that are 3 apart
 have a point that is 1 from the one and 2 from the other; so where somebody within 1 bit of a point has been put down,
 everybody at the point is within 3 bits of that one, and all belong together.
+
+What grows with the corpus is never broadcast: a fingerprint's 34 requests or 2,081 points look to Spark as small as the
+file of fingerprints they are made from. Only tables of few rows are, after these have been counted.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsettle.llm.base import free_name, join_by_frequency, query, table, with_text_columns
+from adsettle.llm.base import free_name, join_by_frequency, query, side, table, with_text_columns
 from adsettle.session import stage
 
 SHINGLE = 3
@@ -113,11 +116,11 @@ def distance(a: Column, b: Column) -> Column:
 
 
 def pair_links(fps: DataFrame, crowded: DataFrame) -> DataFrame:
-    """(a, b) of all fingerprints within RADIUS that meet at a table entry that isn't crowded."""
+    """(a, b) of all fingerprints within RADIUS that meet at a table entry that isn't ``crowded``, a side of a join."""
     own = entries(fps)
     calm = own.join(crowded, ["segment", "half"], "left_anti")
     asking = requests(own).withColumnRenamed("fp", "asking")
-    met = calm.join(asking, ["segment", "half"]).filter(
+    met = calm.join(asking.hint("merge"), ["segment", "half"]).filter(
         (F.col("fp") != F.col("asking")) & (distance(F.col("fp"), F.col("asking")) <= RADIUS)
     )
     return met.select(F.least("fp", "asking").alias("a"), F.greatest("fp", "asking").alias("b"))
@@ -151,7 +154,7 @@ def point_links(members: DataFrame) -> DataFrame:
     )
     # Each point is within 2 bits of its head's fingerprint and of at most 2,081 members', so no point is hot.
     return (
-        points.join(heads, "point")
+        points.join(heads.hint("merge"), "point")
         .filter("fp != head")
         .select(F.least("fp", "head").alias("a"), F.greatest("fp", "head").alias("b"))
         .distinct()
@@ -167,16 +170,17 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """
     edges = stage(edges.select("a", "b").distinct(), "edges")
     for _ in range(most_rounds):
+        n = edges.count()
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # larger neighbours of each node now hang on the smallest of its neighbourhood
         large = (
-            both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            both.filter("b > a").join(side(least, 2 * n, "least"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         ).distinct()
-        large = stage(large, "edges-large")  # rows (node, smaller node)
+        large = stage(large, "edges-large")  # rows (node, smaller node), one per edge at most
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            large.join(down, "a")
+            large.join(side(down, n, "down"), "a")
             .select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
             .select(F.col("e.b").alias("x"), F.col("e.m").alias("y"))
             .filter("x != y")
@@ -184,10 +188,11 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
             .distinct()
         )
         edges = stage(small, "edges")
+        children = edges.select(F.col("b").alias("a")).distinct()
         # done once every node hangs on one root only, and no root hangs on anything
         state = edges.groupBy("b").agg(F.count("*").alias("n"))
         loose = state.filter("n > 1").isEmpty() and edges.join(
-            edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi"
+            side(children, edges.count(), "children"), "a", "left_semi"
         ).isEmpty()
         if loose:
             own = edges.select(F.col("a").alias("fp"), F.col("a").alias("root")).distinct()
@@ -207,8 +212,10 @@ def groups(prints: DataFrame) -> DataFrame:
     fps = distinct_prints(prints)
     crowded = entries(fps).groupBy("segment", "half").count().filter(F.col("count") > CROWD)
     crowded = stage(crowded.select("segment", "half"), "crowded")
+    n = crowded.count()
+    crowded = side(crowded, n)
     links = pair_links(fps, crowded)
-    if not crowded.isEmpty():
+    if n:
         asked = requests(entries(fps)).join(crowded, ["segment", "half"], "left_semi")
         links = links.union(point_links(asked.select("fp").distinct()))
     return named_groups(fps, links)
@@ -216,10 +223,12 @@ def groups(prints: DataFrame) -> DataFrame:
 
 def named_groups(fps: DataFrame, links: DataFrame) -> DataFrame:
     """fp, n and component_id of the distinct fingerprints, given links (a, b) among them."""
-    roots = components(links)
+    roots = stage(components(links), "roots")
+    n = roots.count()
+    roots = side(roots, n)
     rooted = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     linked = fps.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(linked, "root", "left")
+    named = rooted.join(side(linked, n // 2, "linked"), "root", "left")
     return named.select("fp", "n", F.coalesce("component_id", "least").alias("component_id"))
 
 

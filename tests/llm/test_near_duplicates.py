@@ -7,6 +7,7 @@ import random
 import pytest
 import xxhash
 
+from adsettle.llm import base
 from adsettle.llm import near_duplicates as N
 
 SF = "/root/testdata/sf0.001"
@@ -74,6 +75,37 @@ def test_links_between_fingerprints(spark, crowd, monkeypatch):
     assert [got[f] for _, f in rows] == plain_groups(rows)
 
 
+@pytest.mark.parametrize("crowd", [256, 3])
+def test_only_counted_tables_are_broadcast(spark, crowd, monkeypatch):
+    """What grows with the corpus is merged, however small Spark takes it to be; groups stay the same."""
+    monkeypatch.setattr(N, "CROWD", crowd)
+    monkeypatch.setattr(base, "FEW_ROWS", -1)
+    plans, write = [], N.stage
+
+    def stage(df, name):
+        plans.append(plan_of(df))
+        return write(df, name)
+
+    monkeypatch.setattr(base, "stage", stage, raising=False)
+    monkeypatch.setattr(N, "stage", stage)
+    draw = random.Random(5)
+    seeds = [draw.getrandbits(63) for _ in range(8)]
+    rows = [(i, seeds[i % 8] ^ (1 << draw.randrange(63))) for i in range(100)] + [(None, 5), (3, 5)]
+    prints = spark.createDataFrame(rows, "doc_id long, fp long")
+    grouped = N.with_groups(prints, N.groups(prints))
+    plans.append(plan_of(grouped))
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 6
+    # but for the fixed table of pairs of bits, and for keys that hold a share of all rows
+    joins = [x for p in plans for x in p.splitlines() if "Broadcast" in x and "Join" in x]
+    assert all("[first#" in x or "_hot_key#" in x for x in joins)
+    got = {(r.doc_id, r.fp): r.component_id for r in grouped.collect()}
+    assert [got[r] for r in rows] == plain_groups(rows)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_odd_rows(spark):
     """Nulls, empty texts, repeated rows, a clashing column, one very long word run."""
     rows = [
