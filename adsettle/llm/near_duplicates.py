@@ -265,8 +265,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     # One row per group: it grows with the corpus, and in memory to many times its file, so it isn't to be broadcast.
     kept = docs.join(stays.filter(F.col(n) == 1).hint("merge"), same, "left_semi")
     repeated = stays.filter(F.col(n) > 1)
-    if not repeated.isEmpty():
-        kept = kept.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
+    if many := repeated.count():
+        copies = docs.join(side(repeated, many), same, "left_semi")
+        kept = kept.unionByName(copies.dropDuplicates(["doc_id"]))
     return kept.unionByName(docs.filter(docs["doc_id"].isNull()))
 
 

@@ -102,6 +102,17 @@ def test_only_counted_tables_are_broadcast(spark, crowd, monkeypatch):
     assert [got[r] for r in rows] == plain_groups(rows)
 
 
+def test_repeated_rows_are_not_broadcast(spark, monkeypatch):
+    """As many doc_ids as the corpus has may be repeated, so their table is broadcast only if it is counted as small."""
+    docs = spark.createDataFrame([(i % 6, f"text number {i % 6 * 31} of many") for i in range(12)], "doc_id long, text string")
+    few = N.one_of_each(docs)
+    monkeypatch.setattr(base, "FEW_ROWS", -1)
+    many = N.one_of_each(docs)
+    assert "BroadcastHashJoin" not in plan_of(many)
+    assert sorted(many.collect()) == sorted(few.collect())
+    assert len({r.doc_id for r in many.collect()}) == many.count()
+
+
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
