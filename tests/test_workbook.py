@@ -281,3 +281,55 @@ def test_rewritten_result_is_cut_by_position(spark, tmp_path, monkeypatch):
     assert len(rows) == 950 and {r.file for r in rows} == {f"orders_part{i}.xlsx" for i in (1, 2, 3)}
     first = sorted((r.amount, -int(r.id)) for r in rows)
     assert first == sorted((float(i % 90), -i) for i in range(1900))[-950:]
+
+
+JOINED = [
+    "<row>{a}{a}</row><row>{a} {a}</row>", "<row>{a}{a}</row> <row>{a}{a}</row>", "<row>{a}{a}</row><row> {a}{a}</row>",
+    "<row>{a}{a}</row><row>{a}{a} </row>", "<row>{a}{a}</row><row>{a}</row>", "<row>{a}{b}</row><row>{a}<x/>{b}</row>",
+    "<row>{b}{b}</row><row>{b}\n{b}</row>",
+]
+
+
+@pytest.mark.parametrize("rows", JOINED)
+def test_joined_rows_are_plain_only_without_gaps(rows):
+    """Cells and rows that follow each other as this library writes them don't hide others that stand apart."""
+    from adsettle.sources.cells import plain_block
+
+    held = {"a": '<c t="inlineStr"><is><t>x&lt;</t></is></c>', "b": "<c><v>1</v></c>"}
+    assert plain_block(rows.format(**held).encode()) is None
+    whole = "<row>{a}{a}{b}{b}</row><row>{a}<c/>{b}{a}</row><row><c/>{a}{a}{a}</row><row>{a}{b}{a}<c/></row>".format(**held)
+    block = plain_block(whole.encode())
+    assert block.filled.shape == (4, 4)
+    found = [block.column(i, __import__("numpy").arange(4)).to_pylist() for i in range(4)]
+    assert found == [["x<", "x<", None, "x<"], ["x<", None, "x<", "1"], ["1", "1", "x<", "x<"], ["1", "x<", "x<", None]]
+
+
+def test_rows_of_grouped_books_dont_pass_through_spark(spark, tmp_path, monkeypatch):
+    """A task that writes a book reads its staged pages itself: it is told pages, not rows."""
+    from adsettle.sinks import workbook as sink
+
+    given, write = [], sink.write_books
+
+    def seen(df, folder, **options):
+        given.append(df.count())
+        write(df, folder, **options)
+
+    monkeypatch.setattr(sink, "write_books", seen)
+    names = ["a/é \"x\"", "b", "a/é \"x\"", "c\\d"]
+    rows = spark.createDataFrame([(names[i % 4], str(i), i, i / 7 if i % 3 else None, None) for i in range(500)],
+                                 "file string, t string, n long, v double, none string").repartition(3)
+    sink.write_grouped_books(rows, str(tmp_path / "told"), "file", cap=100)
+    assert given == [7]
+    dated = rows.withColumn("none", F.lit(None).cast("date"))  # of other types, rows are written as before
+    sink.write_grouped_books(dated, str(tmp_path / "rows"), "file", cap=100)
+    assert given == [7, 500]
+    schema = "_entry string, _file string, t string, n string, v string, none string"
+    told, passed = (
+        sorted(map(tuple, spark.read.format("workbook").schema(schema).load(str(tmp_path / x)).collect()), key=str)
+        for x in ("told", "rows")
+    )
+    plain = lambda found: sorted((n, v) for *_, n, v, _ in found)
+    assert len(told) == 500 and plain(told) == plain(passed)
+    assert {x[1] for x in told} == {'é "x"_part1.xlsx', 'é "x"_part2.xlsx', 'é "x"_part3.xlsx', "b_part1.xlsx", "b_part2.xlsx"} | {
+        "c\\d_part1.xlsx", "c\\d_part2.xlsx"
+    }
